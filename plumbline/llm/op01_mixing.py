@@ -4,7 +4,7 @@
    posterior over the domains, not one hard source. Counts are summed map-side into BUCKETS rows for each domain.
 2. Nonnegative rates r minimize |A^T r - T|^2, where row i of A is n_tokens * posterior of document i and T the target
    tokens of the domains: projected gradient steps r <- max(0, r - step), with the residual's metric and each
-   document's step scaled (by the domains' Gram matrix and by 1 / n_tokens), so that a step of 1 is stable at any size.
+   document's step scaled (by the domains' Gram matrix and by 1 / n_tokens), so that few steps do at any size.
    Each iteration is one aggregation of len(domains) sums over a small written table.
 3. A rate becomes a whole number of copies: its floor, and one more with the remainder's chance by a hash of doc_id.
 """
@@ -71,27 +71,36 @@ def fit_rates(members: DataFrame, shares: list[float], max_iterations: int = MAX
     k = len(shares)
     p = [F.col(f"p{i}") for i in range(k)]
     w = F.col("times") * F.col("n_tokens")
-    first = members.agg(*[F.sum(w * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)], *[F.sum(w * p[i]).alias(f"t{i}") for i in range(k)]).first()
-    t = np.array([first[f"t{i}"] or 0.0 for i in range(k)])
+
+    def look(rate):
+        """The domains' totals at a rate, and their Gram matrix over the documents whose rate isn't at its bound."""
+        pairs = [(i, j) for i in range(k) for j in range(i, k)]
+        row = members.withColumn("_r", rate).agg(*[F.sum(w * p[i] * F.col("_r")).alias(f"t{i}") for i in range(k)], *[F.sum(F.when(F.col("_r") > 0, w) * p[i] * p[j]).alias(f"g{i}_{j}") for i, j in pairs]).first()
+        gram = np.zeros((k, k))
+        for i, j in pairs:
+            gram[i, j] = gram[j, i] = row[f"g{i}_{j}"] or 0.0
+        return np.array([row[f"t{i}"] or 0.0 for i in range(k)]), gram
+
+    t, gram = look(F.lit(1.0))
     total = t.sum()
     if total == 0:
         return F.lit(1.0), t, t
     share = np.where(t > 1e-9 * total, np.array(shares, float), 0.0)
     target = total * share / share.sum() if share.sum() > 0 else t
-    gram = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            gram[i, j] = gram[j, i] = first[f"g{i}_{j}"] or 0.0
-    metric = np.linalg.pinv(gram / total, rcond=1e-9) / total
     steps: list[np.ndarray] = []
-    reached = t
+    reached, whole = t, gram
     for _ in range(max_iterations):
         gap = reached - target
         if np.abs(gap).max() <= tolerance * total:
             break
-        steps.append(metric @ gap)
-        sums = members.agg(*[F.sum(w * p[i] * _rate(steps, k)).alias(f"t{i}") for i in range(k)]).first()
-        reached = np.array([sums[f"t{i}"] or 0.0 for i in range(k)])
+        # The metric of the free documents; where that overshot, the metric of all, in which a step of 1 can't.
+        step = np.linalg.pinv(gram / total, rcond=1e-9) @ gap / total
+        now, then = look(_rate([*steps, step], k))
+        if np.abs(now - target).sum() >= np.abs(gap).sum():
+            step = np.linalg.pinv(whole / total, rcond=1e-9) @ gap / total
+            now, then = look(_rate([*steps, step], k))
+        steps.append(step)
+        reached, gram = now, then
     return _rate(steps, k), reached, target
 
 
