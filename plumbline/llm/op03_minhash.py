@@ -133,10 +133,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     now = _labelled(post, comps)
     sizes = now.groupBy("token", "comp").agg(F.count("*").alias("k"))
     top = sizes.groupBy("token").agg(F.max_by("comp", F.struct("k", "comp")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("token", "top")
-    several = now.join(top, "token")
-    left = several.where("comp <> top").select("token", F.col("rep").alias("a"), F.col("comp").alias("ca"))
-    right = several.select("token", F.col("rep").alias("b"), F.col("comp").alias("cb"), "top")
-    pairs = left.join(right, "token").where("ca <> cb and (cb = top or a < b)").select("a", "b")
+    several = written(now.join(top, "token").select("token", "rep", "comp", "top"), "several")
+    # Shingles that only one of these sets has can't be shared: they bound what a set can have in common with any other.
+    who = several.select("rep").distinct()
+    items = sets.join(who, "rep", "left_semi").select("rep", F.explode("items").alias("s"))
+    alone = items.groupBy("s").agg(F.count("*").alias("k"), F.min("rep").alias("rep")).where("k = 1").groupBy("rep").agg(F.count("*").alias("u"))
+    node = sigs.join(who, "rep", "left_semi").join(alone, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("most"), "sig").where(F.col("most") * 100 >= F.col("n") * percent)
+    several = several.join(node, "rep")
+    left = several.where("comp <> top").select("token", *[F.col(c).alias(f"{c}_a") for c in ("rep", "comp", "n", "most", "sig")])
+    right = several.select("token", *[F.col(c).alias(f"{c}_b") for c in ("rep", "comp", "n", "most", "sig")], "top")
+    can = F.least("most_a", "most_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    agree = F.aggregate(F.zip_with("sig_a", "sig_b", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, y: s + y) >= matches
+    cross = (F.col("comp_a") != F.col("comp_b")) & ((F.col("comp_b") == F.col("top")) | (F.col("rep_a") < F.col("rep_b")))
+    pairs = left.join(right, "token").where(cross & can & agree).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
     last = written(_confirmed(pairs, sigs, sets, matches, percent), "links")
     if last.limit(1).count():
         comps = written(connected_components(links.unionByName(last)), "comps")
