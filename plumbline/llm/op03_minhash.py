@@ -9,7 +9,7 @@ Plan:
    one of the first coords - matches + 1, so only that prefix is posted (prefix merging); frequent values, such as
    those of a line that half of the corpus has, fall behind the prefix and are skipped.
 3. Lists are resolved by hubs instead of pair by pair: each list's members are compared with its most central
-   member, then with the most central one outside that component; after that, members still in different
+   member (in more rounds, if asked for, with the most central one outside that component); then members still in different
    components are compared with each other. Pairs inside one component can't change a component, so no link
    between different texts that matters is lost, and a large group of near copies costs its size, not its square.
 4. Candidates whose signatures agree on `matches` coordinates are confirmed on full shingle sets.
@@ -85,7 +85,7 @@ def _confirmed(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, matches: int,
     return x.withColumn("both", both).where(F.col("both") * 100 >= (F.size("ia") + F.size("ib") - F.col("both")) * percent).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, coords: int = COORDS, matches: int = MATCHES, hub_rounds: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, coords: int = COORDS, matches: int = MATCHES, hub_rounds: int = 1) -> DataFrame:
     """One row per row of docs: (id_col, n_shingles, component_id, kept).
 
     Links join documents with 100 * intersection >= percent * union of their 5-word shingle sets; component_id is the
