@@ -197,7 +197,7 @@ def test_reconstruction_cameras_landxml(spark, tmp_path):
 
 def test_dc_marks_dxf_metrics_config(spark, tmp_path):
     n = lambda v: f"{v:<16}"
-    (tmp_path / "a.dc").write_text(f"69KI  P1 {n(200000.1234)}{n(300000.5)}{n(0.0)}brass cap\n69KI  P1 {n(1)}{n(2)}{n(3)}\n81CB1{n(200001)}{n(300001)}{n(12.345)}\n81KI1{n(5)}{n(6)}{n(7)}\n66FD  BASE 35.5-106.25 1800.5 x\n".replace("35.5-106.25 1800.5", "35.5-106.251800.5"))
+    (tmp_path / "a.dc").write_text(f"69KI  P1 {n(200000.1234)}{n(300000.5)}{n(0.0)}brass cap\n69KI  P1 {n(1)}{n(2)}{n(3)}\n81CB1{n(200001)}{n(300001)}{n(12.345)}pt\n81KI1{n(5)}{n(6)}{n(7)}pt\n66FD  BASE 35.5-106.25 1800.5 x\n".replace("35.5-106.25 1800.5", "35.5-106.251800.5"))
     got = {r.point_id: r for r in D.control_dc(spark, str(tmp_path / "a.dc")).collect()}
     assert got["P1"].easting_ft == 300000.5 and got["P1"].elevation_ft is None and got["P1"].description == "brass cap"
     assert got["obs_1"].elevation_ft in (12.34, 12.35) and len([k for k in got if k.startswith("obs")]) == 1
