@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 
 def event_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(folder)
+    """A stream of a folder's Parquet files; times without a zone become timestamps, as watermarks need."""
+    raw = spark.readStream.schema(schema).parquet(folder)
+    return raw.withColumns({c: F.col(c).cast("timestamp") for c, t in raw.dtypes if t == "timestamp_ntz"})
 
 
 def windowed(events: DataFrame, length: str, slide: str | None = None, late: str = "10 minutes") -> DataFrame:
