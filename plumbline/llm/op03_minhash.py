@@ -12,6 +12,7 @@ Plan:
    member (in more rounds, if asked for, with the most central one outside that component); then members still in different
    components are compared with each other. Pairs inside one component can't change a component, so no link
    between different texts that matters is lost, and a large group of near copies costs its size, not its square.
+   Of those last pairs, only the ones that the sets' smallest hashes leave possible become rows.
 4. Candidates whose signatures agree on `matches` coordinates are confirmed on full shingle sets.
 """
 
@@ -20,7 +21,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +29,8 @@ from plumbline.llm.common import connected_components, discard, mix64, shingle_s
 
 COORDS = 48
 MATCHES = 28
+#: Smallest hashes of a set that the last comparison looks at before full sets; sets up to this size are seen whole.
+SKETCH = 256
 _A = np.random.default_rng(7).integers(1, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = np.random.default_rng(8).integers(1, 2**63, COORDS, dtype=np.uint64)
 
@@ -85,6 +88,23 @@ def _confirmed(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, matches: int,
     return x.withColumn("both", both).where(F.col("both") * 100 >= (F.size("ia") + F.size("ib") - F.col("both")) * percent).select("a", "b")
 
 
+def _smallest(items: Column, size: int) -> tuple[Column, Column]:
+    """The `size` smallest of sorted unsigned 64-bit hashes, each as its highest 31 bits, and up to where they are whole."""
+    low = F.transform(F.slice(items, 1, size), lambda x: F.shiftrightunsigned(x, 33).cast("int"))
+    return low, F.when(F.size(items) <= size, F.lit(2**31 - 1)).otherwise(F.element_at(low, -1))
+
+
+def _possible(percent: int) -> Column:
+    """Whether sets of which (n, low, end) _a and _b are known can reach percent. The smallest hashes of the set that is
+    known less far show what share of it the other has: exact where both are known whole, else within 5.5 standard
+    deviations."""
+    first = F.col("end_a") <= F.col("end_b")
+    n, k = F.when(first, F.col("n_a")).otherwise(F.col("n_b")), F.when(first, F.size("low_a")).otherwise(F.size("low_b"))
+    share = F.least(F.lit(percent / (100 + percent)) * (F.col("n_a") + F.col("n_b")) / n, F.lit(1.0))
+    slack = F.when(k == n, F.lit(0.0)).otherwise(5.5 * F.sqrt(k * share * (1 - share))) + 2
+    return F.size(F.array_intersect("low_a", "low_b")) >= k * share - slack
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, coords: int = COORDS, matches: int = MATCHES, hub_rounds: int = 1) -> DataFrame:
     """One row per row of docs: (id_col, n_shingles, component_id, kept).
 
@@ -139,13 +159,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     items = sets.join(who, "rep", "left_semi").select("rep", F.explode("items").alias("s"))
     alone = items.groupBy("s").agg(F.count("*").alias("k"), F.min("rep").alias("rep")).where("k = 1").groupBy("rep").agg(F.count("*").alias("u"))
     node = sigs.join(who, "rep", "left_semi").join(alone, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("most"), "sig").where(F.col("most") * 100 >= F.col("n") * percent)
+    low, end = _smallest(F.col("items"), SKETCH)
+    node = node.join(sets.select("rep", low.alias("low"), end.alias("end")), "rep")
     several = several.join(node, "rep")
-    left = several.where("comp <> top").select("token", *[F.col(c).alias(f"{c}_a") for c in ("rep", "comp", "n", "most", "sig")])
-    right = several.select("token", *[F.col(c).alias(f"{c}_b") for c in ("rep", "comp", "n", "most", "sig")], "top")
+    fields = ("rep", "comp", "n", "most", "sig", "low", "end")
+    left = several.where("comp <> top").select("token", *[F.col(c).alias(f"{c}_a") for c in fields])
+    right = several.select("token", *[F.col(c).alias(f"{c}_b") for c in fields], "top")
     can = F.least("most_a", "most_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
     agree = F.aggregate(F.zip_with("sig_a", "sig_b", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, y: s + y) >= matches
     cross = (F.col("comp_a") != F.col("comp_b")) & ((F.col("comp_b") == F.col("top")) | (F.col("rep_a") < F.col("rep_b")))
-    pairs = left.join(right, "token").where(cross & can & agree).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+    pairs = left.join(right, "token").where(cross & can & agree & _possible(percent)).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
     last = written(_confirmed(pairs, sigs, sets, matches, percent), "links")
     if last.limit(1).count():
         comps = written(connected_components(links.unionByName(last)), "comps")
