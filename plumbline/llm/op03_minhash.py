@@ -31,6 +31,8 @@ COORDS = 48
 MATCHES = 28
 #: Smallest hashes of a set that the last comparison looks at before full sets; sets up to this size are seen whole.
 SKETCH = 256
+#: Size of the filter that keeps most texts without a candidate out of a shuffle; only speed depends on it.
+FILTER_BITS = 1 << 25
 _A = np.random.default_rng(7).integers(1, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = np.random.default_rng(8).integers(1, 2**63, COORDS, dtype=np.uint64)
 
@@ -88,6 +90,15 @@ def _confirmed(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, matches: int,
     return x.withColumn("both", both).where(F.col("both") * 100 >= (F.size("ia") + F.size("ib") - F.col("both")) * percent).select("a", "b")
 
 
+def _likely(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of texts that a bitmap of FILTER_BITS bits over hashes of ids lets pass: all with such an id, and some others.
+    Its size is fixed (a few megabytes at most), so it can be broadcast; it spares most other texts a shuffle."""
+    place = lambda x: F.pmod(F.xxhash64(x), F.lit(FILTER_BITS))
+    maps = ids.select(place("rep").alias("p")).groupBy(F.expr("p div 32768").alias("block")).agg(F.bitmap_construct_agg(F.expr("p % 32768")).alias("bits"))
+    x = texts.withColumn("p", place("id")).withColumn("block", F.expr("p div 32768")).join(F.broadcast(maps), "block")
+    return x.where("shiftright(cast(conv(hex(substring(bits, cast(p % 32768 div 8 as int) + 1, 1)), 16, 10) as int), cast(p % 8 as int)) % 2 = 1").select(*texts.columns)
+
+
 def _smallest(items: Column, size: int) -> tuple[Column, Column]:
     """The `size` smallest of sorted unsigned 64-bit hashes, each as its highest 31 bits, and up to where they are whole."""
     low = F.transform(F.slice(items, 1, size), lambda x: F.shiftrightunsigned(x, 33).cast("int"))
@@ -130,11 +141,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prefix = F.lit(coords - matches + 1) - (F.lit(coords) - F.size("ts"))
     members = written(lists.select("rep", F.aggregate("ts", F.lit(0).cast("long"), lambda s, t: s + t["f"]).alias("central"), F.slice(F.transform("ts", lambda t: t["token"]), 1, prefix).alias("tokens")), "members")
     sigs = classes.join(members.select("rep"), "rep", "left_semi").select("rep", "n", "sig")
-    own = texts.where("id is not null").join(members.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+    # An inner join: Catalyst would move a semi-join below the filter.
+    own = _likely(texts.where("id is not null"), members.select("rep")).join(members.select(F.col("rep").alias("id")), "id").dropDuplicates(["id"])
     sets = written(own.mapInArrow(_sets, T.StructType([T.StructField("rep", schema["id"].dataType), T.StructField("items", T.ArrayType(T.LongType()))])), "sets")
 
     post = members.select("rep", "central", F.explode("tokens").alias("token")).join(often.select("token"), "token", "left_semi")
-    post = written(post, "post")
+    # Lists with the same members say the same: one of each stays.
+    same = post.groupBy("token").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y")).where("k > 1").groupBy("k", "x", "y").agg(F.min("token").alias("token"))
+    post = written(post.join(same.select("token"), "token", "left_semi"), "post")
     links, comps = None, None
     for _ in range(hub_rounds):
         now = _labelled(post, comps)
@@ -161,7 +175,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     node = sigs.join(who, "rep", "left_semi").join(alone, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("most"), "sig").where(F.col("most") * 100 >= F.col("n") * percent)
     low, end = _smallest(F.col("items"), SKETCH)
     node = node.join(sets.select("rep", low.alias("low"), end.alias("end")), "rep")
-    several = several.join(node, "rep")
+    node = written(node, "node")
+    rows = written(several.join(node.select("rep"), "rep", "left_semi"), "several")
+    discard(several)
+    still = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
+    several = rows.join(still, "token", "left_semi").join(node, "rep")
     fields = ("rep", "comp", "n", "most", "sig", "low", "end")
     left = several.where("comp <> top").select("token", *[F.col(c).alias(f"{c}_a") for c in fields])
     right = several.select("token", *[F.col(c).alias(f"{c}_b") for c in fields], "top")
@@ -172,7 +190,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     last = written(_confirmed(pairs, sigs, sets, matches, percent), "links")
     if last.limit(1).count():
         comps = written(connected_components(links.unionByName(last)), "comps")
-    for x in (sets, post, members):
+    for x in (sets, post, members, node, rows):
         discard(x)
     named = classes.select("key", "rep").join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component"))
     out = described.select("id", "n", "key").join(named, "key", "left")
