@@ -521,13 +521,13 @@ def structural(spark, d):
 
 @query("a14_similarity")
 def similarity(spark, d):
-    p = view(spark, d, "p").where("pid < 200").withColumn("key", (F.col("pid") % 4).cast("string"))
+    p = view(spark, d, "p").withColumn("key", (F.col("pid") % 4).cast("string"))
     return R.fit_similarity(p.withColumns({"tx": 2 * F.col("y") + 5, "ty": -2 * F.col("x") + 7, "tz": 2 * F.col("z") - 3}), "key")
 
 
 @query("a15_robust_points")
 def robust_points(spark, d):
-    e = view(spark, d, "e").where("tid <= 20")
+    e = view(spark, d, "e")
     i, t = F.col("iid"), F.col("tid")
     c = {"x": (i % 40).cast("double") * 5, "y": (i % 30).cast("double") * 7, "z": 100.0 + (i % 9).cast("double")}
     q = {"x": (t % 50).cast("double"), "y": (t % 40).cast("double"), "z": (t % 5).cast("double")}

@@ -147,6 +147,53 @@ def test_near_duplicates_and_order_equal_loops(spark):
     assert by[1] == max((t for t in range(12) if t != by[0]), key=lambda t: math.hypot(*(xy[t] - xy[by[0]])))
 
 
+def test_similarity_equals_plain_fit(spark):
+    rows, want = [], {}
+    for k in "ab":
+        turn = np.linalg.qr(rng.normal(size=(3, 3)))[0]
+        a = rng.normal(size=(40, 3)) * 100
+        b = 1.7 * a @ (turn * np.sign(np.linalg.det(turn))).T + [5, -7, 3] + rng.normal(size=(40, 3))
+        ma, mb = a.mean(0), b.mean(0)
+        u, s, vt = np.linalg.svd(sum(np.outer(y - mb, x - ma) for x, y in zip(a, b)))
+        sign = np.array([1, 1, np.sign(np.linalg.det(u @ vt))])
+        scale = (s * sign).sum() / sum((x - ma) @ (x - ma) for x in a)
+        want[k] = scale, (u * sign) @ vt, mb - scale * (u * sign) @ vt @ ma
+        rows += [(k, *map(float, x), *map(float, y)) for x, y in zip(a, b)]
+    rows += [("few", 1.0, 2.0, 3.0, 1.0, 2.0, 3.0)] * 2
+    got = {r.key: r for r in R.fit_similarity(spark.createDataFrame(rows, "key string, x double, y double, z double, tx double, ty double, tz double"), "key").collect()}
+    assert set(got) == {"a", "b", "few"} and got["few"].scale is None
+    for k, (scale, turn, shift) in want.items():
+        assert np.isclose(got[k].scale, scale) and np.allclose(got[k].rotation, turn.ravel()) and np.allclose(got[k]["shift"], shift)
+
+
+def test_robust_points_drop_the_worst_rows(spark):
+    f, rows, want = 1500.0, [], {}
+    for k in range(6):
+        q = rng.random(3) * [50, 40, 5]
+        want[f"k{k}"] = q
+        for i, c in enumerate(rng.random((7, 3)) * [200, 200, 10] + [0, 0, 100]):
+            m = [f, 0.0, -5000.0, -f * c[0] + 5000 * c[2], 0.0, f, -5000.0, -f * c[1] + 5000 * c[2], 0.0, 0.0, -1.0, c[2]]
+            x, y, z = np.reshape(m, (3, 4)) @ [*q, 1]
+            rows.append((f"k{k}", float(x / z) + (300 if i < k % 3 else 0), float(y / z), list(map(float, m)), 10000.0, 10000.0, *map(float, q + 1)))
+    rows += [("two", *r[1:]) for r in rows[:2]]
+    got = {r.label: r for r in R.robust_points(spark.createDataFrame(rows, "label string, px double, py double, matrix array<double>, w double, h double, x0 double, y0 double, z0 double"), "label").collect()}
+    assert got.pop("two").status == "skipped" and set(got) == set(want)
+    for k, r in got.items():
+        assert r.status == "ok" and r.n_used == 7 - int(k[1:]) % 3 and np.allclose((r.x, r.y, r.z), want[k], atol=1e-3)
+
+
+def test_a14_a15_fit_every_point_and_label(spark, tmp_path):
+    """Tables without the ids that the queries once kept: no point or label is left out."""
+    from plumbline.plans.queries import QUERIES
+
+    spark.range(1000, 1040).select(F.col("id").alias("p_partkey")).write.parquet(str(tmp_path / "part.parquet"))
+    spark.range(21, 33).select(F.col("id").alias("l_suppkey"), F.explode(F.sequence(F.lit(1).cast("long"), F.lit(6).cast("long"))).alias("l_orderkey")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    fits = QUERIES["a14_similarity"](spark, str(tmp_path)).collect()
+    assert sorted(r.key for r in fits) == list("0123") and all(abs(r.scale - 2) < 1e-9 for r in fits)
+    points = {int(r.label): r for r in QUERIES["a15_robust_points"](spark, str(tmp_path)).collect()}
+    assert sorted(points) == list(range(21, 33)) and all(r.n_used == 6 and np.allclose((r.x, r.y, r.z), (t % 50, t % 40, t % 5), atol=1e-3) for t, r in points.items())
+
+
 def test_first_and_last_wins_with_ties(spark):
     df = spark.createDataFrame([("a", 1, 5.0), ("a", 1, 5.0), ("a", 2, 7.0), ("b", 1, None)], "k string, seq int, v double")
     assert [tuple(r) for r in K.first_wins(df, ["k"], ["seq", "v"]).orderBy("k").collect()] == [("a", 1, 5.0), ("b", 1, None)]
