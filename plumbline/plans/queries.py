@@ -132,13 +132,17 @@ FOOT = "sqrt(pow((t.lon - i.lon) * 111319.9 * cos(radians(i.lat)), 2) + pow((t.l
 RADIUS = "(i.abs_alt - (select avg(ellip_alt_m) from fx_t)) * tan(atan(43.2666 * 12.29 / 24 / (2 * 12.29)))"
 
 
-@query("j01_a12_f17_footprints", f"select i.iid, count(*) as n, min(t.tid) as lo, max(t.tid) as hi from fx_i i join fx_t t on {FOOT} <= {RADIUS} group by 1", "ti")
-def footprints(spark, d):
-    t, i = view(spark, d, "t"), view(spark, d, "i")
+def _in_footprint(t, i):
+    """Images with all targets in their footprint; p_ (target) and c_ (image) prefixes."""
     mean = t.agg(F.avg("ellip_alt_m").alias("ground"))
     c = i.join(F.broadcast(mean)).withColumn("radius", C.footprint_radius(F.col("abs_alt") - F.col("ground"), F.col("focal_mm"), F.col("focal35_mm"), F.col("img_w"), F.col("img_h"), 50.0))
     top = c.agg(F.max("radius")).first()[0] or 1.0
-    got = S.within(t.select("tid", "lat", "lon"), c.select("iid", "lat", "lon", "radius"), "radius", top, 36.8)
+    return S.within(t, c.drop("ground"), "radius", top, 36.8)
+
+
+@query("j01_a12_f17_footprints", f"select i.iid, count(*) as n, min(t.tid) as lo, max(t.tid) as hi from fx_i i join fx_t t on {FOOT} <= {RADIUS} group by 1", "ti")
+def footprints(spark, d):
+    got = _in_footprint(view(spark, d, "t").select("tid", "lat", "lon", "ellip_alt_m"), view(spark, d, "i").select("iid", "lat", "lon", "abs_alt", "focal_mm", "focal35_mm", "img_w", "img_h"))
     return got.groupBy(F.col("c_iid").alias("iid")).agg(F.count("*").alias("n"), F.min("p_tid").alias("lo"), F.max("p_tid").alias("hi"))
 
 
@@ -507,6 +511,11 @@ def priority_limit(spark, d):
     return view(spark, d, "e").where("tid = 3").orderBy(F.desc("px"), "iid").limit(20).select("iid", "px")
 
 
+@query("o05_priority_limit_all_targets", "select iid, tid, px from fx_e order by px desc, iid, tid limit 20", "e")
+def priority_limit_all(spark, d):
+    return view(spark, d, "e").orderBy(F.desc("px"), "iid", "tid").limit(20).select("iid", "tid", "px")
+
+
 @query("j14_near_duplicates")
 def near_duplicates(spark, d):
     t = view(spark, d, "t").select((F.col("tid") % 4).cast("string").alias("survey"), "tid", F.col("tid").alias("seq"), "lat", "lon")
@@ -577,6 +586,14 @@ def projection(spark, d):
     return x.select("iid", "tid", F.round(px, 4).alias("px"), F.round(py, 4).alias("py")).where("px is not null")
 
 
+@query("j01_f18_p14_footprint_projection", PROJ.replace("t.tid = i.iid % 10 + 1", f"{FOOT} <= {RADIUS}"), "ti")
+def footprint_projection(spark, d):
+    x = _in_footprint(view(spark, d, "t").select("tid", "lat", "lon", "ellip_alt_m"), view(spark, d, "i").drop("image"))
+    cam = {c[2:]: F.col(c) for c in x.columns if c.startswith("c_")}
+    px, py = C.project_exif(cam, F.col("p_lat"), F.col("p_lon"), F.col("p_ellip_alt_m"))
+    return x.select(F.col("c_iid").alias("iid"), F.col("p_tid").alias("tid"), F.round(px, 4).alias("px"), F.round(py, 4).alias("py")).where("px is not null")
+
+
 @query("f19_f20_gsd_and_uncertainty", """
 select iid, round((abs_alt - 1700) * (43.2666 * 12.29 / 24 / sqrt(1 + pow(5280.0/3956, 2)) * 5280.0/3956) / (12.29 * 5280), 8) as gsd, round(0.1 * tan(radians(abs_alt - 1760)) + 0.05, 8) as sigma, round(least(greatest((abs_alt - 1775) / 20, 0.0), 1.0), 6) as shade from fx_i""", "i")
 def gsd(spark, d):

@@ -194,6 +194,17 @@ def test_a14_a15_fit_every_point_and_label(spark, tmp_path):
     assert sorted(points) == list(range(21, 33)) and all(r.n_used == 6 and np.allclose((r.x, r.y, r.z), (t % 50, t % 40, t % 5), atol=1e-3) for t, r in points.items())
 
 
+def test_projection_and_limit_take_every_target(spark):
+    from plumbline.plans.fixtures import view
+    from plumbline.plans.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    assert QUERIES["j01_f18_p14_footprint_projection"](spark, sf).where("tid > 10").select("tid").distinct().count() > 50
+    rows = [(r.iid, r.tid, r.px) for r in view(spark, sf, "e").where("px is not null").collect()]
+    got = [(r.iid, r.tid, r.px) for r in QUERIES["o05_priority_limit_all_targets"](spark, sf).collect()]
+    assert got == sorted(rows, key=lambda r: (-r[2], r[0], r[1]))[:20]
+
+
 def test_first_and_last_wins_with_ties(spark):
     df = spark.createDataFrame([("a", 1, 5.0), ("a", 1, 5.0), ("a", 2, 7.0), ("b", 1, None)], "k string, seq int, v double")
     assert [tuple(r) for r in K.first_wins(df, ["k"], ["seq", "v"]).orderBy("k").collect()] == [("a", 1, 5.0), ("b", 1, None)]
