@@ -13,9 +13,15 @@ from plumbline.llm.op04_decontaminate import contamination
 from plumbline.llm.op10_sharding import shard
 
 
-def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Rows of docs whose id is among verdicts' (doc_id); rows with a null id stay: no verdict names them."""
-    return docs.join(verdicts.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+def _named(docs: DataFrame) -> DataFrame:
+    """docs with _row, which stands for one text even where doc_id is null or repeated: by doc_id, nulls last, then by the
+    text's hash. A struct equals another with nulls in the same places, so joins on it are null-safe."""
+    return docs.withColumn("_row", F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("th")))
+
+
+def _kept(named: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Rows of named whose _row is among verdicts' (_row), without _row."""
+    return named.join(verdicts.select("_row").distinct(), "_row", "left_semi").drop("_row")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,13 +31,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
-    return _kept(docs, near_duplicates(docs).where("kept").select("doc_id"))
+    """One document of each group of near duplicates: the one with the smallest id, null ids last. Of rows that repeat one
+    id and text, one stays."""
+    named = _named(docs)
+    return _kept(named.dropDuplicates(["_row"]), near_duplicates(named.select("_row", "text"), "_row").where("kept"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    return _kept(docs, contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("not contaminated").select("doc_id"))
+    named = _named(docs)
+    verdicts = contamination(named.select(F.col("_row").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _kept(named, verdicts.where("not contaminated").withColumnRenamed("doc_id", "_row"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

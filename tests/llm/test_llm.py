@@ -332,3 +332,22 @@ def test_pipeline_keeps_clean_and_drops_the_rest(spark):
             assert len(rows) == len(before) and rows.groupby("shard")["text_bytes"].sum().max() <= op10_sharding.LIMIT
         docs = spark.createDataFrame(rows[list(docs.columns)]) if name != "sharding" else docs
     assert cp.run(spark, SF).count() == len(rows)
+
+
+def test_pipeline_judges_null_and_repeated_ids(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    a, b, c, item = passage(120), passage(60), passage(60), passage(25)
+    texts = [(None, a)] * 3 + [(None, edited(a, 1, 1)), (7, a), (7, a), (8, b), (8, c), (None, c), (9, None), (None, None), (None, None), (10, "")]
+    got = cp.near_dedup(spark, docs_of(spark, texts), SF)
+    assert got.columns == docs_of(spark, texts).columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [(7, a), (8, b), (8, c), (9, None), (None, None), (10, "")]))
+    alone = [(None, a), (None, a), (None, edited(a, 1, 1)), (None, b)]
+    assert cp.near_dedup(spark, docs_of(spark, alone), SF).count() == 2
+
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    bad = b + " " + item
+    texts = [(None, bad), (None, bad), (None, a), (None, a), (None, None), (5, bad), (5, a), (6, a), (6, a)]
+    got = cp.decontaminate(spark, docs_of(spark, texts), str(tmp_path))
+    assert got.columns == docs_of(spark, texts).columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [x for x in texts if x[1] != bad]))
