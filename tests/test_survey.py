@@ -115,6 +115,20 @@ def test_spatial_joins_equal_nested_loops(spark):
     assert sorted((r.p_id, r.c_id) for r in got.collect()) == sorted(want)
 
 
+def test_k_nearest_leaves_no_point_out(spark):
+    """Far sites, broken positions, null and repeated points against a plain loop."""
+    inf, nan = math.inf, math.nan
+    q = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.random((12, 2)) * 300)] + [(50, 9e5, 0.0), (None, 5.0, 5.0), (51, 5.0, 5.0), (51, 5.0, 5.0), (52, None, 1.0), (53, nan, 1.0), (54, inf, 1.0)]
+    near = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.random((3, 2)) * 300)]
+    far = [(10 + i, 8e5 + i, 2e5 - i) for i in range(4)]
+    odd = [(20, None, 0.0), (21, nan, 0.0), (22, 0.0, -inf)]
+    for s in (near + far + odd, near + [(5, -9.5e6, 4.1e6)] + odd, near[:1], odd):
+        real = [c for c in s if None not in c and all(map(math.isfinite, c[1:]))]
+        want = [(i, c[1], n + 1) for i, x, y in q if x is not None and math.isfinite(x) for n, c in enumerate(sorted((math.hypot(x - a, y - b), j) for j, a, b in real)[:5])]
+        got = S.k_nearest(spark.createDataFrame(q, "id int, x double, y double"), spark.createDataFrame(s, "id int, x double, y double"), 5, 60.0, "id")
+        assert sorted(map(str, ((r.p_id, r.c_id, r["rank"]) for r in got.collect()))) == sorted(map(str, want))
+
+
 def test_replay_equals_loop(spark):
     log = [(i, "RemoveTiePoints" if rng.random() < 0.1 else "MarkTiePoint", f"i{rng.integers(5)}", f"l{rng.integers(6)}", float(i)) for i in range(300)]
     state = {}
