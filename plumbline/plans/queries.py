@@ -108,7 +108,7 @@ def outliers(spark, d):
     return A.outliers(view(spark, d, "t").select("tid", ((F.col("tid") * 31) % 97).cast("double").alias("dh")).withColumn("dh", F.col("dh") / 8), "dh", 1.5)
 
 
-@query("p16_p17_p18_severity", """
+@query("p16_severity", """
 select p_partkey, case when p_partkey % 7 = 0 then 'fail' when p_partkey % 5 = 0 then 'warn' when p_partkey % 3 = 0 then null else 'ok' end as sev from part""")
 def severities(spark, d):
     k = F.col("p_partkey")
@@ -219,7 +219,7 @@ def tin_heights(spark, d):
     return rounded(S.triangle_at(q, _faces(spark, d), 20.0))
 
 
-@query("j10_j13_j22_lookups", """
+@query("j10_j13_lookups", """
 select n_name, r_name, count(*) as n, cast(count_if(o_orderkey is null) as bigint) as lost from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey left join orders on o_custkey = c_custkey group by 1, 2""")
 def lookups(spark, d):
     c = table(spark, d, "customer").join(F.broadcast(table(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -404,13 +404,13 @@ def components(spark, d):
     return A.pca(view(spark, d, "e").withColumn("comp", F.col("tid") % 50), "comp", "px", "py").where("n >= 5").select("comp", "n", F.round("l1", 2).alias("l1"), F.round("l2", 2).alias("l2"))
 
 
-@query("a26_f22_affine", "select tid, round(1000 + (lon * 88000 - 1000) * 1.0003 + 12.5, 4) as x, round((lon * 88000 - 100) / 0.5, 4) as col from fx_t", "t")
+@query("f22_affine", "select tid, round(1000 + (lon * 88000 - 1000) * 1.0003 + 12.5, 4) as x, round((lon * 88000 - 100) / 0.5, 4) as col from fx_t", "t")
 def affine(spark, d):
     x = F.col("lon") * 88000
     return view(spark, d, "t").select("tid", F.round(M.scale_about(x, 1000.0, 1.0003, 12.5), 4).alias("x"), F.round(M.map_to_pixel(x, F.lit(0.0), [100, 0.5, 0, 0, 0, -0.5])[0], 4).alias("col"))
 
 
-@query("a27_a29_findings", "select tid, list_sort(list(distinct src)) as findings, count(*) as n from fx_e group by 1", "e")
+@query("a27_findings", "select tid, list_sort(list(distinct src)) as findings, count(*) as n from fx_e group by 1", "e")
 def findings(spark, d):
     return view(spark, d, "e").groupBy("tid").agg(F.sort_array(F.collect_set("src")).alias("findings"), F.count("*").alias("n"))
 

@@ -312,6 +312,12 @@ def test_streams_equal_batches(spark, events):
     assert runs == {(r.host, r.seq, r.run) for r in A.idle_runs(probes(df), ["host"], "seq", ~F.col("busy"), 3).collect()}
 
 
+def test_names_claim_no_unwritten_operator():
+    from plumbline.plans.queries import QUERIES
+
+    assert not {"p17", "p18", "a26", "a29", "s06c", "j22"} & {part for name in QUERIES for part in name.split("_")}
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
