@@ -121,7 +121,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Links join documents with 100 * intersection >= percent * union of their 5-word shingle sets; component_id is the
     smallest id reachable and kept says whether that is the row's own. Signatures find a pair at the threshold with
-    all but about one chance in ten million (48 draws at 0.85, 28 needed).
+    all but about one chance in 570,000 (48 draws at 0.85, 28 needed).
     Null or empty texts and texts of white space: n_shingles 0, linked with nothing, own component. Null ids: the row
     is returned with a null component_id and kept true, and links nothing. Repeated rows: each is returned, all alike.
     Empty tables: no rows. Other columns of docs are ignored. percent must leave matches / coords well below

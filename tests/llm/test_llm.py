@@ -1,6 +1,7 @@
 """The corpus operators against brute force, and on nulls, empty and long texts, ties, repeated rows, empty tables and extra columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -89,6 +90,13 @@ def test_op3_brute_force(spark):
     assert op03_minhash.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_op3_states_its_miss_chance():
+    n, k = op03_minhash.COORDS, op03_minhash.MATCHES
+    miss = sum(math.comb(n, i) * 0.85**i * 0.15 ** (n - i) for i in range(k))
+    said = int(re.search(r"about one chance in ([\d,]+)", op03_minhash.near_duplicates.__doc__)[1].replace(",", ""))
+    assert 0.95 < miss * said < 1.05
+
+
 def test_op4_brute_force(spark):
     items = [(1, passage(25)), (2, "Short Item"), (3, None), (4, ""), (5, passage(12)), (5, "w1 w2 w3 w4 w5 w6"), (None, passage(11))]
     long = items[0][1]
