@@ -14,10 +14,15 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
-    where = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder that all executors share: spark.checkpoint.dir. Where that is unset, a temporary one, but only if the
+    session's executors are in this process (local masters, as in tests); on a cluster a machine's own folder would hold
+    a part of each table only, so it is refused."""
+    conf = spark.sparkContext.getConf()
+    where = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if where:
         return where.rstrip("/")
+    if not conf.get("spark.master", "local").startswith("local") or conf.get("spark.master", "").startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     own = getattr(spark.sparkContext, "_plumbline_dir", None)
     if own is None:
         own = spark.sparkContext._plumbline_dir = "file://" + tempfile.mkdtemp(prefix="plumbline-")
@@ -70,16 +75,49 @@ def let(value: Column, use) -> Column:
 # ---------------------------------------------------------------- connected components
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, component) for each node of edges (a, b): component is the smallest node reachable.
+#: Links that one task resolves at most (32 MB as pairs of longs); more take rounds of joins. Only speed depends on it.
+LOCAL_LINKS = 1 << 21
 
-    Alternating large-star and small-star steps; every step is a map-side combined minimum and a join, and each
-    round is written to the shared folder. Self links and repeated or null links count for nothing.
+
+def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """For each of n nodes the smallest node that links (a, b) reach: roots hook to smaller ones, then all paths are cut."""
+    p = np.arange(n)
+    while True:
+        x, y = p[a], p[b]
+        open_ = x != y
+        if not open_.any():
+            return p
+        a, b, x, y = a[open_], b[open_], x[open_], y[open_]
+        np.minimum.at(p, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(q := p[p], p):
+            p = q
+
+
+def _resolve(batches):
+    import pyarrow as pa
+
+    batches = list(batches)
+    ends = [np.concatenate([b.column(i).to_numpy() for b in batches] or [np.empty(0, np.int64)]) for i in (0, 1)]
+    nodes, at = np.unique(np.concatenate(ends), return_inverse=True)
+    top = roots(at[: len(ends[0])], at[len(ends[0]) :], len(nodes))
+    for i in range(0, len(nodes), 1 << 16):
+        part = slice(i, i + (1 << 16))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[part]), pa.array(nodes[top[part]])], names=["node", "component"])
+
+
+def connected_components(edges: DataFrame, local_links: int = LOCAL_LINKS) -> DataFrame:
+    """(node, component) for each node of edges (a, b), which are longs: component is the smallest node reachable.
+
+    A written table of local_links rows at most, by its count, is resolved in one task. Beyond that, alternating
+    large-star and small-star steps: each is a map-side combined minimum and a join, and each round is written to the
+    shared folder; they always settle. Self links and repeated or null links count for nothing; without links, no rows.
     """
-    e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("a is not null and b is not null and u > v").distinct()
+    e = edges.select(F.greatest("a", "b").cast("long").alias("u"), F.least("a", "b").cast("long").alias("v")).where("a is not null and b is not null and u > v")
     e = written(e, "cc")
+    if e.count() <= local_links:
+        return e.coalesce(1).mapInArrow(_resolve, "node long, component long")
     last = None
-    for _ in range(max_rounds):
+    while True:
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
@@ -92,12 +130,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         new = written(small, "cc")
         discard(e)
         e = new
-        n, h = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if (n, h) == last:
+        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if now == last:
             break
-        last = (n, h)
-    else:
-        raise RuntimeError("connected components did not settle")
+        last = now
     star = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return star.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 

@@ -3,8 +3,8 @@
 Each text's k-word hashes are computed in its row; of every w consecutive ones the smallest is kept as a fingerprint
 (the leftmost on ties). Document and item fingerprints are joined; around each match the document's words are cut into
 windows and compared, as text, with the items' windows. With k = 5 and w = 6 every shared span of k + w - 1 = 10 words
-has a common fingerprint, so no occurring window is lost; where items are shorter, w falls to what the shortest needs,
-and items of fewer than k words get hashes of their own length with w = 1.
+has a common fingerprint, so no occurring window is lost; items of fewer words get hashes of their own length with
+w = 1, which a row looks up in a list while they are few.
 
 The documents are read once and only fingerprints that match an item's leave the scan's stage; one small row goes on
 for each document besides.
@@ -21,32 +21,42 @@ from plumbline.llm.common import let, maybe_broadcast
 
 K, WINDOW = 5, 10
 MAX_BROADCAST_ROWS = 100_000
+#: Items shorter than a window whose hashes are looked up in each row at most; more go through the join alone.
+MAX_SHORT = 1000
+#: Keys over which rows that match nothing are dealt, so that none is hot.
+LANES = 4096
 _POS = 28  # low bits of a fingerprint that hold its place
+_OTHER = "".join(chr(i) for i in range(128) if not chr(i).isalnum())
 
 
 def item_words(text: Column) -> Column:
-    """Words [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ with A-Z lower-cased; null: none."""
-    low = F.translate(F.coalesce(text.cast("string"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.regexp_extract_all(low, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0))
+    """Words [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ with A-Z lower-cased; null: none. Other ASCII characters become spaces."""
+    low = F.translate(F.coalesce(text.cast("string"), F.lit("")), string.ascii_uppercase + _OTHER, string.ascii_lowercase + " " * len(_OTHER))
+    return F.array_remove(F.split(low, " "), "")
 
 
 def _fingerprints(words: Column, k: int, w: int) -> Column:
     """Hash bits above the place (from 1) in the low bits, of each k-word hash that is least in some w in a row."""
-    m = F.size(words) - (k - 1)
     high, low = F.lit(-(1 << _POS)).cast("long"), (1 << _POS) - 1
-    keys = F.transform(F.sequence(F.lit(1), m), lambda i: F.xxhash64(F.slice(words, i, k)).bitwiseAND(high).bitwiseOR(i.cast("long").bitwiseAND(F.lit(low))))
+    key = lambda h: lambda i: F.xxhash64(*[F.get(h, i + (j - 1)) for j in range(k)]).bitwiseAND(high).bitwiseOR(i.cast("long").bitwiseAND(F.lit(low)))
+    keys = let(F.transform(words, F.xxhash64), lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - (k - 1)), key(h)))
     if w > 1:
-        keys = let(keys, lambda ks: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(ks) - (w - 1)), lambda i: F.array_min(F.slice(ks, i, w)))))
-    return F.when(m >= w, keys).otherwise(F.array().cast("array<bigint>"))
+        least = lambda ks: lambda i: F.least(*[F.get(ks, i + j) for j in range(w)])
+        keys = let(keys, lambda ks: F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(ks) - w), least(ks))))
+    return F.when(F.size(words) >= k + w - 1, keys).otherwise(F.array().cast("array<bigint>"))
 
 
-def _with_fingerprints(df: DataFrame, plans: list[tuple[int, int]]) -> DataFrame:
-    """df (words ...) with fp: an array of (k, key)."""
-    def marked(k: int, w: int) -> Column:
-        return F.transform(_fingerprints(F.col("words"), k, w), lambda x: F.struct(F.lit(k).alias("k"), x.alias("key")))
+def _marked(words: Column, plans: list[tuple[int, int, list[int] | None]]) -> Column:
+    """Fingerprints of all plans (k, w, hashes or None for all) as (k, key)."""
+    def one(k, w, only):
+        keys = _fingerprints(words, k, w)
+        keys = keys if only is None else F.filter(keys, lambda x: _hash(x).isin(only))
+        return F.transform(keys, lambda x: F.struct(F.lit(k).alias("k"), x.alias("key")))
+    return F.concat(*[one(*p) for p in plans])
 
-    parts = [marked(k, w) for k, w in plans]
-    return df.withColumn("fp", F.concat(*parts))
+
+def _hash(key: Column) -> Column:
+    return F.shiftright(key, _POS)
 
 
 def _windows(words: Column, n: Column, window: int) -> Column:
@@ -55,7 +65,7 @@ def _windows(words: Column, n: Column, window: int) -> Column:
     return F.when(n >= window, full).when(n > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_words, n_hit, n_items, items (their ids as sorted strings),
     items_sha256, contaminated, against benchmark (item_id, text).
 
@@ -66,34 +76,38 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
     returned, all alike. Empty docs: no rows; an empty benchmark: no hits. Other columns are ignored."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), item_words(F.col("text")).alias("words"))
     lengths = [r[0] for r in items.select(F.least(F.size("words"), F.lit(window)).alias("n")).where("n > 0").distinct().collect()]
-    long = [n for n in lengths if n >= k]
-    plans = [(k, min(long) - k + 1)] if long else []
-    plans += [(n, 1) for n in sorted(lengths) if n < k]
+    plans = [(k, window - k + 1, None)] if window in lengths else []
+    brief = [(n, 1, None) for n in sorted(lengths) if n < window]
+    few = items.where(F.size("words") < window).select(F.explode(_marked(F.col("words"), brief)).alias("f")).where(F.col("f.k") == F.size("words")) if brief else None
+    if brief:
+        few = few.select(F.col("f.k").alias("k"), _hash(F.col("f.key")).alias("h")).distinct().limit(MAX_SHORT + 1).collect()
+        plans += [(n, w, None if len(few) > MAX_SHORT else [r.h for r in few if r.k == n]) for n, w, _ in brief]
     size = F.size("words")
 
-    known = _with_fingerprints(items, plans).select(F.explode("fp").alias("f")).select(F.col("f.k").alias("k"), F.shiftright("f.key", _POS).alias("h")).distinct() if plans else None
     windows = items.select("item", F.explode(_windows(F.col("words"), size, window)).alias("window")).groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
-
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), item_words(F.col("text")).alias("words"))
     if plans:
-        rows = _with_fingerprints(rows, plans)
+        known = items.select(F.explode(_marked(F.col("words"), plans)).alias("f")).select(F.col("f.k").alias("k"), _hash(F.col("f.key")).alias("h")).distinct()
         def piece(f):
             p, kk = f["key"].bitwiseAND(F.lit((1 << _POS) - 1)).cast("int"), f["k"]
             first = F.greatest(p + kk - window, F.lit(1))
-            return F.struct(kk.alias("k"), F.shiftright(f["key"], _POS).alias("h"), first.alias("first"), F.slice("words", first, p + window - first).alias("near"))
-        head = F.array(F.struct(F.lit(0).alias("k"), F.lit(0).cast("long").alias("h"), F.lit(0).alias("first"), F.array().cast("array<string>").alias("near")))
-        rows = rows.select("doc_id", "th", size.alias("n"), F.explode(F.concat(head, F.transform("fp", piece))).alias("f"))
+            return F.struct(kk.alias("k"), _hash(f["key"]).alias("h"), first.alias("first"), F.slice("words", first, p + window - first).alias("near"))
+        # A row of its own (k = 0) takes each document's number of words on; no two kinds of rows meet in one hot key.
+        lane = F.pmod(F.xxhash64("doc_id", "th"), F.lit(LANES))
+        head = F.array(F.struct(F.lit(0).alias("k"), lane.alias("h"), F.lit(0).alias("first"), F.array().cast("array<string>").alias("near")))
+        rows = rows.select("doc_id", "th", size.alias("n"), F.explode(F.concat(head, F.transform(_marked(F.col("words"), plans), piece))).alias("f"))
         rows = rows.select("doc_id", "th", "n", F.col("f.k").alias("k"), F.col("f.h").alias("h"), F.col("f.first").alias("first"), F.col("f.near").alias("near"))
-        heads = items.sparkSession.createDataFrame([(0, 0)], "k int, h long")
-        known = known.unionByName(heads)
-        rows = rows.join(maybe_broadcast(known, MAX_BROADCAST_ROWS), ["k", "h"], "left_semi")
+        heads = items.sparkSession.range(LANES).select(F.lit(0).alias("k"), F.col("id").alias("h"))
+        rows = rows.join(maybe_broadcast(known.unionByName(heads), max_broadcast_rows), ["k", "h"], "left_semi")
         short = sorted({n for n in lengths if n < window})
         def cut(n):
             return F.transform(F.sequence(F.lit(1), F.size("near") - (n - 1)), lambda i: F.struct((F.col("first") + i - 1).alias("at"), F.lit(n).alias("len"), F.array_join(F.slice("near", i, n), " ").alias("window")))
         kind = "array<struct<at:int,len:int,window:string>>"
         cuts = F.concat(*[F.coalesce(F.when(F.size("near") >= n, cut(n)), F.array().cast(kind)) for n in [*short, *([window] if window in lengths else [])]])
-        hits = rows.select("doc_id", "th", "n", "k", F.explode_outer(cuts).alias("c")).select("doc_id", "th", "n", "k", "c.at", "c.len", "c.window")
-        hits = hits.join(maybe_broadcast(windows, MAX_BROADCAST_ROWS), "window", "left")
+        hits = rows.select("doc_id", "th", "n", "k", F.explode_outer(cuts).alias("c"))
+        # No window holds the character U+0000.
+        hits = hits.select("doc_id", "th", "n", "k", "c.at", "c.len", F.coalesce("c.window", F.concat(F.lit("\0"), F.pmod(F.xxhash64("doc_id", "th"), F.lit(LANES)).cast("string"))).alias("window"))
+        hits = hits.join(maybe_broadcast(windows, max_broadcast_rows), "window", "left")
     else:
         hits = rows.select("doc_id", "th", size.alias("n"), F.lit(0).alias("k"), F.lit(0).alias("at"), F.lit(0).alias("len"), F.lit(None).cast("array<string>").alias("items"))
     found = hits.groupBy("doc_id", "th").agg(

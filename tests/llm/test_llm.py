@@ -64,9 +64,10 @@ def components(ids, linked):
 
 def test_components(spark):
     e = [(R.randrange(300), R.randrange(300)) for _ in range(220)] + [(5, 5), (None, 3)] + [(1000 + i, 1001 + i) for i in range(40)]
-    got = {r.node: r.component for r in connected_components(spark.createDataFrame(e, "a long, b long")).collect()}
     real = [(a, b) for a, b in e if a is not None and a != b]
-    assert got == components({x for p in real for x in p}, real)
+    for most in (1 << 21, 0):  # 0: in rounds of joins
+        got = {r.node: r.component for r in connected_components(spark.createDataFrame(e, "a long, b long"), most).collect()}
+        assert got == components({x for p in real for x in p}, real)
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
@@ -90,6 +91,30 @@ def test_op3_brute_force(spark):
     assert op03_minhash.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_op3_long_sets_large_lists_and_repeated_ids(spark, monkeypatch):
+    """Sets of up to 1,500 shingles near the threshold, lists of more than a block, groups whose links make chains, one id
+    with several texts: as brute force says."""
+    monkeypatch.setattr(op03_minhash, "BLOCK", 7)
+    r = random.Random(31)
+    line = passage(30, r)
+    bases = [passage(n, r) for n in (300, 700, 1500)]
+    texts = [(1000 * b + i, edited(x, r.randrange(1, len(x.split()) // 45), 1000 * b + i)) for b, x in enumerate(bases) for i in range(25)]
+    chain = bases[1]
+    for i in range(12):
+        chain = edited(chain, 8, 7000 + i)
+        texts.append((3000 + i, chain))
+    texts += [(4000 + i, passage(12, r) + " " + line + " " + passage(8, r)) for i in range(30)] + [(4000 + i, passage(3, r) + " " + line + " " + passage(3, r)) for i in range(30, 60)]
+    texts += [(9000, bases[0]), (9000, bases[2]), (9000, "alone here")]
+    rows = op03_minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    sets = [shingles(t) for _, t in texts]
+    at = range(len(texts))
+    comp = components(at, [(a, b) for a in at for b in at if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])])
+    least = {c: min(texts[i][0] for i in at if comp[i] == c) for c in comp.values()}
+    want = sorted((i, len(s), least[comp[k]], i == least[comp[k]]) for k, ((i, _), s) in enumerate(zip(texts, sets)))
+    assert len(set(comp.values())) < 70 and max(map(len, sets)) > 1400
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in rows) == want
+
+
 def test_op3_states_its_miss_chance():
     n, k = op03_minhash.COORDS, op03_minhash.MATCHES
     miss = sum(math.comb(n, i) * 0.85**i * 0.15 ** (n - i) for i in range(k))
@@ -98,9 +123,9 @@ def test_op3_states_its_miss_chance():
 
 
 def test_op4_brute_force(spark):
-    items = [(1, passage(25)), (2, "Short Item"), (3, None), (4, ""), (5, passage(12)), (5, "w1 w2 w3 w4 w5 w6"), (None, passage(11))]
+    items = [(1, passage(25)), (2, "Short Item"), (3, None), (4, ""), (5, passage(12)), (5, "w1 w2 w3 w4 w5 w6"), (6, "w9 w8 w7 w6 w5"), (7, "nul\0 word.here"), (None, passage(11))]
     long = items[0][1]
-    texts = TEXTS + [(200, passage(30) + " " + long.upper() + " " + passage(9)), (201, "x " + " ".join(long.split()[3:13])), (202, "x " + " ".join(long.split()[3:12])), (203, "a short-item, SHORT item"), (204, items[4][1] + " w1 w2 w3 w4 w5 w6 w1 w2 w3 w4 w5 w6"), (205, "é " + str(items[6][1]))]
+    texts = TEXTS + [(200, passage(30) + " " + long.upper() + " " + passage(9)), (201, "x " + " ".join(long.split()[3:13])), (202, "x " + " ".join(long.split()[3:12])), (203, "a short-item, SHORT item"), (204, items[4][1] + " w1 w2 w3 w4 w5 w6 w1 w2 w3 w4 w5 w6"), (205, "é " + str(items[-1][1])), (206, "_w9-w8\x7fw7 w6 W5 w4"), (207, "NUL WORD\0HERE @[`{~")]
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
     wins = {}
     for i, t in items:
@@ -117,8 +142,9 @@ def test_op4_brute_force(spark):
                     its |= wins[tuple(w[k : k + n])]
         want.append((str(i), len(w), len(hit), len(its), hashlib.sha256(",".join(sorted(its)).encode()).hexdigest(), bool(hit)))
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = op04_decontaminate.contamination(docs_of(spark, texts), bench).collect()
-    assert sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got) == sorted(want)
+    for most in (op04_decontaminate.MAX_BROADCAST_ROWS, 0):  # 0: joins without a broadcast
+        got = op04_decontaminate.contamination(docs_of(spark, texts), bench, max_broadcast_rows=most).collect()
+        assert sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got) == sorted(want)
     assert op04_decontaminate.contamination(docs_of(spark, TEXTS[:3]), bench.where("false")).where("contaminated").count() == 0
     assert op04_decontaminate.contamination(docs_of(spark, []), bench).count() == 0
 
@@ -229,6 +255,8 @@ def test_op8_round_trip(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
 
+    assert op08_tokens.words_apart(public_tokenizers.path("word_bpe_49k.json")) and not op08_tokens.words_apart(public_tokenizers.path("byte_bpe_50k.json"))
+
     path = public_tokenizers.path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
     odd = [(300, "Don't STOP... it's 3,000 <|endoftext|> <|ENDOFTEXT|> é́ \u00a0x\u2003y ÀÉ'S"), (301, "a" * 70 + "., ،؟ 漢字.. "), (302, "İSTANBUL ΣΑΣ straße…")]
