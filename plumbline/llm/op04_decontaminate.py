@@ -39,7 +39,7 @@ def _fingerprints(words: Column, k: int, w: int) -> Column:
     """Hash bits above the place (from 1) in the low bits, of each k-word hash that is least in some w in a row."""
     high, low = F.lit(-(1 << _POS)).cast("long"), (1 << _POS) - 1
     key = lambda h: lambda i: F.xxhash64(*[F.get(h, i + (j - 1)) for j in range(k)]).bitwiseAND(high).bitwiseOR(i.cast("long").bitwiseAND(F.lit(low)))
-    keys = let(F.transform(words, F.xxhash64), lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - (k - 1)), key(h)))
+    keys = let(F.transform(words, lambda x: F.xxhash64(x)), lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - (k - 1)), key(h)))
     if w > 1:
         least = lambda ks: lambda i: F.least(*[F.get(ks, i + j) for j in range(w)])
         keys = let(keys, lambda ks: F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(ks) - w), least(ks))))
