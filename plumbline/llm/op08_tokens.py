@@ -25,9 +25,9 @@ from plumbline.llm.wavelet import dump, load
 SHARD_TOKENS = 1 << 22
 END_ID = 2
 #: Words whose ids a Python worker remembers before it starts anew with a slice. Only speed depends on it.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 600_000
 #: Bytes of text that are split into words at once, unless one text has more.
-SLICE = 1 << 24
+SLICE = 1 << 23
 #: Words given to the tokenizer in one text.
 TOGETHER = 200
 MARKS = ".,!?;:"
