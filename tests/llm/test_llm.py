@@ -167,6 +167,38 @@ def test_op5_brute_force(spark):
     assert op05_forest.similar_vectors(df.where("false")).count() == 0
 
 
+def test_op5_scales(spark):
+    """Components near the ends of double precision."""
+    rows = [(1, [1e-200, 1e-200]), (2, [1.0, 0.1]), (3, [1e200, 1e200]), (4, [1e200, 1.0001e200]), (5, [5e-324, 0.0]), (6, [0.0, 1.0]), (7, [-1.0, -1.0]), (8, [-0.0, 1.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in op05_forest.similar_vectors(spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (2, 1), 3: (2, 1), 4: (2, 1), 2: (1, 2), 5: (1, 2), 6: (1, 6), 7: (0, 7), 8: (1, 6)}
+
+
+@pytest.mark.parametrize("sample_rows, block", [(20_000, 512), (300, 16)])
+def test_op5_forest_against_brute_force(spark, monkeypatch, sample_rows, block):
+    """Trees of many leaves; with a small sample, leaves that are split on and compared in blocks."""
+    monkeypatch.setattr(op05_forest, "BLOCK", block)
+    g = np.random.default_rng(8)
+    base = g.normal(size=(1500, 24))
+    near = base[g.integers(0, 200, 900)] + g.normal(size=(900, 24)) * 0.12
+    group = base[300] + g.normal(size=(300, 24)) * 0.05  # near copies, all different
+    x = np.concatenate([base, near, group])
+    rows = [(int(i), v.tolist(), int(i) % 2) for i, v in enumerate(x)] + [(5000 + i, x[i].tolist(), i % 2) for i in range(0, 60, 3)]
+    seen = {}
+    fit = op05_forest.fit_forest
+    monkeypatch.setattr(op05_forest, "fit_forest", lambda *a, **k: seen.setdefault("forest", fit(*a, **k)))
+    got = {r.vec_id: r for r in op05_forest.similar_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), leaf=16, sample_rows=sample_rows).collect()}
+    assert all(len(t["at"]) > 4 for t in seen["forest"]) and (sample_rows > 300 or any(t["cells"] for t in seen["forest"]))
+    ids, y, lab = np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    true = (y @ y.T >= 0.98) & (lab[:, None] == lab[None, :]) & ~np.eye(len(y), dtype=bool)
+    n = np.array([got[i].n_links for i in ids])
+    assert (n <= true.sum(1)).all() and n.sum() >= 0.97 * true.sum() > 10_000
+    comp = components(ids.tolist(), [(ids[a], ids[b]) for a, b in np.argwhere(true) if a < b])
+    assert np.mean([got[i].component_id == comp[i] for i in ids.tolist()]) > 0.97
+    assert all(got[i].kept == (got[i].component_id == i) for i in got)
+
+
 def test_op2_held_out_and_edges(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     got = op02_quality.op2_quality(spark, "/root/testdata/sf0.01")
