@@ -21,9 +21,8 @@ from plumbline.llm.common import key_crc, text_buffers
 WIDTH, STEP, DIM, FILTERS, HIDDEN = 6, 2, 6, 16, 16
 HALF = 128  # bytes in half a chunk
 PER_HALF = HALF // STEP
-#: Texts that training uses at most, and half chunks of one text that an epoch uses at most (a part taken at random each time).
+#: Labelled texts that training uses at most, each whole.
 MAX_TRAIN = 3000
-TRAIN_HALVES = 24
 THRESHOLD = 0.3
 
 
@@ -88,11 +87,10 @@ class Net:
         d = np.hstack([np.maximum.reduceat(h, first), np.add.reduceat(h, first) / n[:, None]])
         return 1 / (1 + np.exp(-np.clip(d @ self.u + self.o, -30, 30).astype(np.float64)))
 
-    def gradients(self, halves: np.ndarray, at: np.ndarray, y: np.ndarray):
-        win, z = self._conv(halves)
-        k = len(halves)
-        mean, arg = z.mean(axis=1), z.argmax(axis=1)
-        p = np.hstack([mean, np.take_along_axis(z, arg[:, None, :], 1)[:, 0]])
+    def gradients(self, halves: np.ndarray, at: np.ndarray, y: np.ndarray, block: int = 2048):
+        """Gradients of the loss over whole texts. Filters' answers are kept for one block of half chunks at a time and
+        made again on the way back, so a long text costs time, not memory."""
+        p = self.pooled(halves, block)
         chunks, first = _chunks(p, at)
         h = np.maximum(chunks @ self.V + self.c, 0)
         n = np.diff(np.append(first, len(h)))
@@ -109,23 +107,28 @@ class Net:
         gh *= h > 0
         grads |= {"V": chunks.T @ gh, "c": gh.sum(axis=0)}
         gc = gh @ self.V.T
-        gp = np.zeros((k, 2 * FILTERS), np.float32)
+        gp = np.zeros((len(halves), 2 * FILTERS), np.float32)
         pick, wins = _sources(p, at)
         gp[pick] += np.hstack([gc[:, :FILTERS] * 0.5, gc[:, FILTERS:] * (1 - wins)])
         gp[pick + 1] += np.hstack([gc[:, :FILTERS] * 0.5, gc[:, FILTERS:] * wins])
-        gz = np.repeat(gp[:, None, :FILTERS] / PER_HALF, PER_HALF, axis=1)
-        old = np.take_along_axis(gz, arg[:, None, :], 1)
-        np.put_along_axis(gz, arg[:, None, :], old + gp[:, None, FILTERS:], 1)
-        gz *= z > 0
-        gz = gz.reshape(-1, FILTERS)
-        grads |= {"W": win.T @ gz, "b": gz.sum(axis=0)}
-        gw = (gz @ self.W.T).reshape(k, PER_HALF, WIDTH, DIM)
-        ge = np.zeros((256, DIM), np.float32)
-        for j in range(WIDTH):
-            byte = halves[:, j : j + STEP * PER_HALF : STEP].ravel()
-            for q in range(DIM):
-                ge[:, q] += np.bincount(byte, gw[:, :, j, q].ravel(), 256).astype(np.float32)
-        grads["E"] = ge
+        gW, gb, ge = np.zeros_like(self.W), np.zeros_like(self.b), np.zeros((256, DIM), np.float32)
+        for i in range(0, len(halves), block):
+            part, gpart = halves[i : i + block], gp[i : i + block]
+            win, z = self._conv(part)
+            arg = z.argmax(axis=1)
+            gz = np.repeat(gpart[:, None, :FILTERS] / PER_HALF, PER_HALF, axis=1)
+            old = np.take_along_axis(gz, arg[:, None, :], 1)
+            np.put_along_axis(gz, arg[:, None, :], old + gpart[:, None, FILTERS:], 1)
+            gz *= z > 0
+            gz = gz.reshape(-1, FILTERS)
+            gW += win.T @ gz
+            gb += gz.sum(axis=0)
+            gw = (gz @ self.W.T).reshape(len(part), PER_HALF, WIDTH, DIM)
+            for j in range(WIDTH):
+                byte = part[:, j : j + STEP * PER_HALF : STEP].ravel()
+                for q in range(DIM):
+                    ge[:, q] += np.bincount(byte, gw[:, :, j, q].ravel(), 256).astype(np.float32)
+        grads |= {"W": gW, "b": gb, "E": ge}
         loss = -np.mean(y * np.log(prob + 1e-7) + (1 - y) * np.log(1 - prob + 1e-7))
         return grads, loss
 
@@ -147,9 +150,9 @@ def _chunks(p: np.ndarray, at: np.ndarray):
     return out, at - np.arange(len(at))
 
 
-def train(texts: list[bytes], labels: np.ndarray, epochs: int = 14, batch: int = 32, rate: float = 3e-3, seed: int = 0) -> list[np.ndarray]:
-    """Weights fitted by Adam; classes weigh as they occur, so that scores are probabilities. Texts beyond TRAIN_HALVES
-    half chunks give a random contiguous part of that many in each epoch, so that training's memory is bounded."""
+def train(texts: list[bytes], labels: np.ndarray, epochs: int = 10, batch: int = 32, rate: float = 3e-3, seed: int = 0) -> list[np.ndarray]:
+    """Weights fitted by Adam on whole texts; classes weigh as they occur, so that scores are probabilities. A tenth of the
+    texts, taken at random, chooses the epoch whose weights are returned."""
     net, r = Net(seed), np.random.default_rng(seed + 1)
     if len(texts) == 0 or len(set(labels.tolist())) < 2:
         rate_1 = (float(np.sum(labels)) + 1) / (len(labels) + 2)
@@ -160,18 +163,14 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 14, batch: int =
     m = {k: np.zeros_like(v) for k, v in zip(net.names, net.state())}
     v2 = {k: np.zeros_like(v) for k, v in m.items()}
     best, at_best = None, np.inf
-    held = r.random(len(rows)) < 0.1 if len(rows) >= 200 else np.zeros(len(rows), bool)
+    held = r.random(len(rows)) < 0.1
     fit, check = np.flatnonzero(~held), np.flatnonzero(held)
     step, steps = 0, max(1, epochs * -(-len(fit) // batch))
     for _ in range(epochs):
         order = r.permutation(fit)
         for i in range(0, len(order), batch):
             own = order[i : i + batch]
-            parts = []
-            for j in own:
-                x = rows[j]
-                s = r.integers(0, len(x) - TRAIN_HALVES + 1) if len(x) > TRAIN_HALVES else 0
-                parts.append(x[s : s + TRAIN_HALVES])
+            parts = [rows[j] for j in own]
             at = np.concatenate(([0], np.cumsum([len(x) for x in parts])[:-1]))
             grads, _ = net.gradients(np.concatenate(parts), at, labels[own].astype(np.float32))
             step += 1
@@ -192,9 +191,9 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 14, batch: int =
 def fit_quality(docs: DataFrame, labels: DataFrame, learn_from, max_train: int = MAX_TRAIN) -> list[np.ndarray]:
     """Weights learned from max_train labelled texts at most, taken in the order of a hash of doc_id. learn_from: a
     Column on doc_id that says which rows may be learned from. A document labelled more than once counts with its
-    lowest label; null labels and null ids don't count; null texts count as empty. Rare labels: half of the sample's
+    lowest label; labels other than 0 and 1, null labels and null ids don't count; null texts count as empty. Rare labels: half of the sample's
     places go to each, as far as it has rows, and scores are then shifted back to the true rates."""
-    known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"))
+    known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"))
     known = known.where(learn_from)
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not counts:
@@ -205,7 +204,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn_from, max_train: int =
     chosen = parts[0]
     for p in parts[1:]:
         chosen = chosen.unionByName(p)
-    got = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", _window("text").alias("text"))
+    got = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
     rows = got.groupBy("doc_id").agg(F.first("y").alias("y"), F.max("text").alias("text")).orderBy("doc_id").toPandas()
     y = rows["y"].to_numpy(np.float64)
     state = train([t.encode() for t in rows["text"]], y)
@@ -214,13 +213,6 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn_from, max_train: int =
     return state
 
 
-def _window(text: str):
-    """Training only: of a text beyond 16 times what an epoch reads, so much from a place that a hash of it picks."""
-    most = TRAIN_HALVES * HALF * 16
-    start = F.pmod(F.xxhash64(text), F.greatest(F.length(text) - most, F.lit(1))).cast("int") + 1
-    return F.when(F.length(text) > most, F.substr(F.col(text), start, F.lit(most))).otherwise(F.col(text))
-
-
 def quality_scores(docs: DataFrame, state: list[np.ndarray], threshold: float = THRESHOLD) -> DataFrame:
     """docs with score (double, 0 to 1; the whole text decides) and predicted (1 if score >= threshold, else 0).
     Null and empty texts get the score of an empty text. All columns of docs stay; score and predicted replace columns
