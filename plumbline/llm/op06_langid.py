@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import key_crc
+from plumbline.llm.common import key_crc, maybe_broadcast
 
 #: n-grams in a profile, and labelled texts that each language's profile is learned from at most.
 TOP = 300
@@ -114,19 +114,15 @@ def has_letter(text: str) -> bool:
 
 
 def fit_profiles(docs: DataFrame, learn_from, per_lang: int = MAX_PER_LANG, text_col: str = "text", lang_col: str = "lang") -> Profiles:
-    """Profiles of every non-null language among the rows that learn_from admits, from per_lang texts of each at most,
-    taken by a hash of doc_id and text. Languages with null or letterless texts only are not learned."""
-    known = docs.where(learn_from).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.lit(1).alias("one"))
-    # A share of the hash range of each language: about per_lang rows of it, without a sort.
-    n = known.groupBy("lang").agg(F.count("*").alias("n"))
-    limits = n.select("lang", (F.lit(float(per_lang)) / F.col("n")).alias("share")).collect()
-    cut = F.lit(False)
-    for r in limits:
-        if r["share"] >= 1:
-            cut = cut | (F.col(lang_col) == r["lang"])
-        else:
-            cut = cut | ((F.col(lang_col) == r["lang"]) & (F.xxhash64("doc_id", text_col) < int(-(2**63) + r["share"] * (2**64 - 1))))
-    chosen = docs.where(learn_from).where(F.col(text_col).isNotNull()).where(cut).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    """Profiles of every non-null language among the rows that learn_from admits, from per_lang texts of each,
+    about, taken by a hash of the text; equal texts count once. Languages with null or letterless texts only are not learned."""
+    known = docs.where(learn_from).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    known = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
+    # A share of the hash range for each language, by its number of different texts: about per_lang of them, without a
+    # sort; of equal texts one stays, so copies neither crowd others out nor miss the share together.
+    shares = known.groupBy("lang").agg(F.approx_count_distinct("th", 0.02).alias("n")).select("lang", (F.lit(float(per_lang)) / F.col("n")).alias("share"))
+    chosen = known.join(maybe_broadcast(shares, 10_000), "lang").where((F.col("share") >= 1) | (F.pmod(F.xxhash64("th", F.lit(1)), F.lit(1 << 30)) < F.col("share") * (1 << 30)))
+    chosen = chosen.dropDuplicates(["lang", "th"]).select("lang", "text")
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, dict[int, int]] = {}
@@ -160,11 +156,12 @@ def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> Dat
             yield pd.DataFrame(got, columns=["lang_pred", "score"])
 
     keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.withColumn("_judged", judge(F.col(text_col).cast("string"))).select(*keep, F.col("_judged.lang_pred").alias("lang_pred"), F.col("_judged.score").alias("score"))
+    rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), judge(F.col(text_col).cast("string")).alias("judged"))
+    return rows.select("row.*", "judged.lang_pred", "judged.score")
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     held = F.coalesce(key_crc(F.col("doc_id"), 4) == 2, F.lit(False))
-    profiles = fit_profiles(docs, ~held)
+    profiles = fit_profiles(docs, F.coalesce(key_crc(F.col("doc_id"), 4) != 2, F.lit(False)))  # a null id has no remainder
     return identify(docs.select("doc_id", "text", held.alias("held_out")), profiles).select("doc_id", "held_out", "lang_pred", "score")
