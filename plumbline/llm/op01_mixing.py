@@ -11,6 +11,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ BUCKETS = 4096
 #: Production targets: shares of tokens by language.
 TARGETS = {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11}
 MAX_ITERATIONS = 60
+#: Share of all tokens by which a domain may miss its target without a warning.
+MAX_GAP = 1e-4
 
 
 def _words(text):
@@ -117,7 +121,8 @@ def mixture(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) ->
     order of sorted target names), domain (the likeliest; ties: the first), rate, copies.
 
     labelled has text and domain; targets maps domains to their shares of tokens (any positive scale). The expected
-    domain token totals, sum of rate * n_tokens * posterior, match the targets at the input's total. Null and empty
+    domain token totals, sum of rate * n_tokens * posterior, match the targets at the input's total; where no rates reach
+    them, the nearest found are used, with a RuntimeWarning that has both. Null and empty
     texts have no tokens, the prior as posterior and rate by it. Null ids are told apart by their texts; repeated rows
     share one result row and all get its rate. Empty docs: no rows; an empty labelled table: uniform posteriors."""
     domains = sorted(d for d, s in targets.items() if s > 0)
@@ -126,7 +131,10 @@ def mixture(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) ->
     model = learn_domains(labelled, domains)
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     members = written(posteriors(rows, model, domains, ["doc_id", "text_hash"]), "members")
-    rate, _, _ = fit_rates(members, [targets[d] for d in domains])
+    rate, reached, target = fit_rates(members, [targets[d] for d in domains])
+    gap = np.abs(reached - target).max() / max(1.0, target.sum())
+    if gap > MAX_GAP:
+        warnings.warn(f"no rates meet these targets: expected tokens of {domains} are {reached.tolist()}, targets {target.tolist()}", RuntimeWarning, stacklevel=2)
     p = F.array(*[F.col(f"p{i}") for i in range(len(domains))])
     best = F.element_at(F.array(*[F.lit(d) for d in domains]), F.array_position(p, F.array_max(p)).cast("int"))
     chance = F.pmod(F.xxhash64(F.lit("mix"), "doc_id", "text_hash"), F.lit(1 << 24)) / F.lit(float(1 << 24))
@@ -135,10 +143,12 @@ def mixture(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) ->
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> DataFrame:
-    """docs with each row as often as its copies say; its columns only."""
-    got = mixture(docs, labelled, targets).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), F.col("copies").alias("_copies")).where("_copies > 0")
-    out = docs.withColumn("_h2", F.xxhash64("text")).join(got, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h2") == F.col("_h")))
-    return out.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    """docs with each row as often as its copies (see mixture) say; its columns only, of any names. Rows with null or
+    repeated ids go by id and text; null and empty texts have the prior's rate; an empty table gives no rows."""
+    got = mixture(docs, labelled, targets).where("copies > 0").select(F.struct("doc_id", "text_hash").alias("key"), "copies")
+    rows = docs.select(F.struct("*").alias("row"), F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("key"))
+    out = rows.join(got, "key")  # a struct equals another with nulls in the same places
+    return out.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
 
 def labelled_domains(docs: DataFrame) -> DataFrame:
