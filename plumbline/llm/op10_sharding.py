@@ -18,6 +18,8 @@ MAX_DEPTH = 48
 MAX_BROADCAST_ROWS = 200_000
 #: Prefix bits by which sizes are first summed; buckets that are over the limit at that depth go on with more.
 STEP_BITS = 16
+#: Bits of a directory whose slots are all written out; pages that one sorted lane of an unsplittable bucket holds.
+MAX_SLOT_BITS, LANE_PAGES = 20, 64
 
 
 def key_bits(key: Column) -> Column:
@@ -57,7 +59,7 @@ def slots(buckets: DataFrame, depth: int) -> DataFrame:
     return buckets.select("depth", "prefix", F.explode(under).alias("low")).select(F.expr(f"shiftleft(prefix, {depth} - depth) + low").alias("slot"), "depth", "prefix")
 
 
-def shard(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text", max_slot_bits: int = MAX_SLOT_BITS, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """docs with shard (the bucket's bits as text; '' if one holds all), shard_depth, shard_page and text_bytes; columns
     of these names are replaced.
 
@@ -67,41 +69,39 @@ def shard(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col:
     many, are spread over pages; pages are numbered after ordering by text hash, so ties are alike. Empty tables: no
     rows."""
     keep = [c for c in docs.columns if c not in ("shard", "shard_depth", "shard_page", "text_bytes")]
-    rows = docs.select(*keep, F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("text_bytes"), key_bits(F.col(id_col)).alias("_bits"))
-    sizes = docs.select(key_bits(F.col(id_col)).alias("bits"), F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("bytes"))
-    buckets = directory(sizes, limit)
+    size = F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long")
+    # The input's columns travel in one struct, so that none can clash with those made here.
+    rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), F.xxhash64(F.col(text_col).cast("string")).alias("th"), size.alias("text_bytes"), key_bits(F.col(id_col)).alias("bits"))
+    buckets = directory(docs.select(key_bits(F.col(id_col)).alias("bits"), size.alias("bytes")), limit)
     depths = sorted(r[0] for r in buckets.select("depth").distinct().collect())
-    found = buckets.select(F.col("depth").alias("_d"), F.col("prefix").alias("_p"), (F.col("bytes") > limit).alias("_over"))
     common = max(depths, default=0)
-    if common <= 20:
-        at = slots(buckets, common).join(buckets.select("depth", "prefix", (F.col("bytes") > limit).alias("_over")), ["depth", "prefix"])
-        at = at.select(F.col("slot").alias("_slot"), F.col("depth").alias("_d"), F.col("prefix").alias("_p"), "_over")
-        rows = rows.withColumn("_slot", F.shiftright("_bits", MAX_DEPTH - common)).join(maybe_broadcast(at, MAX_BROADCAST_ROWS), "_slot")
+    found = buckets.select("depth", "prefix", F.when(F.col("bytes") > limit, F.ceil(F.col("bytes") / F.lit(limit * LANE_PAGES))).otherwise(0).alias("lanes"))
+    if common <= max_slot_bits:
+        at = slots(buckets, common).join(found, ["depth", "prefix"])
+        rows = rows.withColumn("slot", F.shiftright("bits", MAX_DEPTH - common)).join(maybe_broadcast(at, max_broadcast_rows), "slot")
     else:  # too deep for a table of all slots: a row probes its prefix of each depth in use
-        tried = F.array(*[F.struct(F.lit(d).alias("_d"), F.shiftright("_bits", MAX_DEPTH - d).alias("_p")) for d in depths])
-        rows = rows.withColumn("_t", F.explode(tried)).withColumn("_d", F.col("_t._d")).withColumn("_p", F.col("_t._p")).drop("_t").join(maybe_broadcast(found, MAX_BROADCAST_ROWS), ["_d", "_p"])
-    name = F.when(F.col("_d") == 0, F.lit("")).otherwise(F.lpad(F.conv(F.col("_p").cast("string"), 10, 2), F.col("_d"), F.lit("0")))
-    rows = rows.withColumn("shard", name).withColumn("shard_depth", F.col("_d").cast("int"))
-    fits = rows.where(~F.col("_over")).withColumn("shard_page", F.lit(0).cast("long"))
-    if not buckets.where((F.col("depth") == MAX_DEPTH) & (F.col("bytes") > limit)).limit(1).count():
-        return fits.select(*keep, "shard", "shard_depth", "shard_page", "text_bytes")
-    return fits.unionByName(_paged(rows.where("_over"), limit, text_col)).select(*keep, "shard", "shard_depth", "shard_page", "text_bytes")
-
-
-def _paged(rows: DataFrame, limit: int, text_col: str) -> DataFrame:
-    """Rows of buckets that no bit can split, on pages: first dealt to as many lanes as the bucket has limits, by hash
-    and place of reading, then by running size inside each lane, so that no task gets the whole bucket."""
-    lanes = 256
-    lane = F.pmod(F.xxhash64(F.col(text_col).cast("string"), F.monotonically_increasing_id()), F.lit(lanes))
-    rows = written(rows.withColumn("_lane", lane), "lanes")
-    order = Window.partitionBy("_p", "_lane").orderBy(F.xxhash64(F.col(text_col).cast("string")), F.col("text_bytes")).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(F.least("text_bytes", F.lit(limit))).over(order), F.lit(0))
+        tried = F.array(*[F.struct(F.lit(d).alias("depth"), F.shiftright("bits", MAX_DEPTH - d).alias("prefix")) for d in depths])
+        rows = rows.withColumn("t", F.explode(tried)).select("row", "th", "text_bytes", "t.*").join(maybe_broadcast(found, max_broadcast_rows), ["depth", "prefix"])
+    name = F.when(F.col("depth") == 0, F.lit("")).otherwise(F.lpad(F.conv(F.col("prefix").cast("string"), 10, 2), F.col("depth"), F.lit("0")))
+    rows = rows.withColumn("shard", name).withColumn("shard_depth", F.col("depth").cast("int"))
+    out = rows.where("lanes = 0").withColumn("shard_page", F.lit(0).cast("long"))
+    if found.where("lanes > 0").limit(1).count():
+        out = out.unionByName(_paged(rows.where("lanes > 0"), limit))
+    return out.select("row.*", "shard", "shard_depth", "shard_page", "text_bytes")
+
+
+def _paged(rows: DataFrame, limit: int) -> DataFrame:
+    """Rows of buckets that no bit can split, on pages: first dealt to lanes, one for LANE_PAGES limits that the bucket holds,
+    by hash and place of reading, then by running size inside each lane, so that no task gets a whole bucket."""
+    lane = F.pmod(F.xxhash64("th", F.monotonically_increasing_id()), F.col("lanes"))
+    rows = written(rows.withColumn("lane", lane), "lanes")
+    order = Window.partitionBy("prefix", "lane").orderBy("th", "text_bytes").rowsBetween(Window.unboundedPreceding, -1)
     # Half pages: a row that begins in half page h ends before h + 2 half pages at most, if it is half a limit or less.
     big = F.col("text_bytes") * 2 > limit
     small_before = F.coalesce(F.sum(F.when(~big, F.col("text_bytes")).otherwise(0)).over(order), F.lit(0))
     big_before = F.coalesce(F.sum(F.when(big, 1).otherwise(0)).over(order), F.lit(0))
     page = F.when(big, F.lit(1) + 2 * big_before).otherwise(2 * F.floor(small_before * 2 / F.lit(limit)))
-    return rows.withColumn("shard_page", (page * lanes + F.col("_lane") + 1).cast("long")).drop("_lane")
+    return rows.withColumn("shard_page", (page * F.col("lanes") + F.col("lane") + 1).cast("long")).drop("lane")
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
