@@ -19,7 +19,8 @@ from plumbline.llm.common import maybe_broadcast, written
 #: (action, host/path). A rule fits its host and all subdomains, if the path starts with its path; the longest wins.
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 TREES, DEPTH, RATE, BINS, L2, MIN_GAIN = 8, 3, 0.5, 16, 1.0, 1e-6
-MAX_RULES = 2000
+#: Rules that become one expression at most; parts of the labelled URLs whose rates come from the other parts.
+MAX_RULES, FOLDS = 2000, 5
 FEATURES = ["f_len", "f_host_len", "f_host_depth", "f_path_depth", "f_digits", "f_entropy", "f_params", "f_query_len", "f_fragment", "f_https", "f_suffix_rate", "f_suffix_n", "f_ending_rate"]
 
 
@@ -34,16 +35,31 @@ def path_of(url: Column) -> Column:
 
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
     """The longest fitting rule and its action; null where none fits. Rules of one length: the first listed."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{MAX_RULES} rules at most: they become one expression")
     rule, action = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for act, text in sorted(rules, key=lambda r: len(r[1])) if rules else []:
+    for act, text in sorted(reversed(rules), key=lambda r: len(r[1])):
         h, _, p = text.partition("/")
         fits = ((host == h) | host.endswith("." + h)) & path.startswith("/" + p)
         rule, action = F.when(fits, F.lit(text)).otherwise(rule), F.when(fits, F.lit(act)).otherwise(action)
     return rule, action
 
 
+def with_rules(rows: DataFrame, rules: list[tuple[str, str]], max_expression: int = MAX_RULES) -> DataFrame:
+    """rows (page_id, url, host, path) with rule and action: one expression, or beyond max_expression rules a join of each
+    url's host suffixes with the list, which is broadcast: it came from the driver."""
+    if len(rules) <= max_expression:
+        rule, action = rule_of(F.col("host"), F.col("path"), rules)
+        return rows.withColumn("rule", rule).withColumn("action", action)
+    listed = [(*t.partition("/")[::2], t, a, -i) for i, (a, t) in enumerate(rules)]
+    table = rows.sparkSession.createDataFrame(listed, "rule_host string, rule_path string, rule string, action string, first long")
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    hit = F.col("path").startswith(F.concat(F.lit("/"), F.col("rule_path")))
+    urls = rows.select("host", "path").distinct()
+    best = urls.withColumn("rule_host", F.explode(suffixes)).join(F.broadcast(table), "rule_host").where(hit)
+    best = best.groupBy("host", "path").agg(F.max(F.struct(F.length("rule").alias("n"), "first", "rule", "action")).alias("best"))
+    return rows.join(best.select("host", "path", "best.rule", "best.action"), ["host", "path"], "left")
+
+
 def _lexical(rows: DataFrame) -> DataFrame:
     """rows (url, host, path ...) with the features that need no labels, and the keys of those that do."""
     u = F.coalesce(F.col("url").cast("string"), F.lit(""))
@@ -69,14 +85,19 @@ def _lexical(rows: DataFrame) -> DataFrame:
     )
 
 
-def _with_rates(rows: DataFrame, labelled: DataFrame) -> DataFrame:
-    """rows with the smoothed block rates of their suffix and ending among the labelled, and the suffix's log count."""
+def _with_rates(rows: DataFrame, labelled: DataFrame, own: bool = False) -> DataFrame:
+    """rows with the smoothed block rates of their suffix and ending among the labelled, and the suffix's log count. own:
+    rows are the labelled ones; each gets the rates of the other folds, so that no row's label is in its features."""
     n, k = labelled.agg(F.count("*"), F.sum("y")).first()
     base = ((k or 0) + 1.0) / (n + 2.0)
     for key in ("suffix", "ending"):
-        t = labelled.groupBy(key).agg(F.count("*").alias("n"), F.sum("y").alias("k"))
-        t = t.select(key, ((F.col("k") + 10 * base) / (F.col("n") + 10)).alias(f"f_{key}_rate"), F.log1p(F.col("n").cast("double")).alias(f"f_{key}_n"))
-        rows = rows.join(maybe_broadcast(t, 50_000), key, "left")
+        t = labelled.groupBy(key, "fold").agg(F.count("*").alias("n"), F.sum("y").alias("k"))
+        all_ = t.groupBy(key).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+        if own:
+            all_ = all_.join(t.select(key, "fold", F.col("n").alias("n1"), F.col("k").alias("k1")), key).select(key, "fold", (F.col("n") - F.col("n1")).alias("n"), (F.col("k") - F.col("k1")).alias("k"))
+        on = [key, "fold"] if own else [key]
+        t = all_.select(*on, ((F.col("k") + 10 * base) / (F.col("n") + 10)).alias(f"f_{key}_rate"), F.log1p(F.col("n").cast("double")).alias(f"f_{key}_n"))
+        rows = rows.join(maybe_broadcast(t, 50_000), on, "left")
         rows = rows.withColumn(f"f_{key}_rate", F.coalesce(f"f_{key}_rate", F.lit(base))).withColumn(f"f_{key}_n", F.coalesce(f"f_{key}_n", F.lit(0.0)))
     return rows
 
@@ -156,15 +177,14 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, labelled:
     and path, fit no rule and are scored like any other; null ids and repeated rows are returned as they come. Without
     labelled URLs, or with one class only, the score is the smoothed base rate. Other columns are ignored."""
     rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    rule, action = rule_of(F.col("host"), F.col("path"), rules)
-    rows = _lexical(rows.withColumn("rule", rule).withColumn("action", action))
+    rows = _lexical(with_rules(rows, rules))
     if labelled is None:
         known = rows.where("action is not null").withColumn("y", (F.col("action") == "block").cast("int"))
     else:
         known = labelled.select("url", "y", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).where("y is not null")
         known = _lexical(known)
-    known = written(known.select("y", "suffix", "ending", *[f for f in FEATURES if f not in ("f_suffix_rate", "f_suffix_n", "f_ending_rate")]), "labelled")
-    score = grow(_with_rates(known, known).select("y", *FEATURES))
+    known = written(known.select("y", F.pmod(F.xxhash64("url"), F.lit(FOLDS)).alias("fold"), "suffix", "ending", *[f for f in FEATURES if f not in ("f_suffix_rate", "f_suffix_n", "f_ending_rate")]), "labelled")
+    score = grow(_with_rates(known, known, own=True).select("y", *FEATURES))
     out = _with_rates(rows, known).withColumn("score", 1 / (1 + F.exp(-score)))
     verdict = F.coalesce("action", F.when(F.col("score") >= 0.5, "block").otherwise("allow"))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.round("score", 9).alias("score"))
