@@ -1,10 +1,10 @@
 """Licence scans: a trained paragraph classifier, in DataFrame operations only.
 
 Paragraphs are lines. A multinomial logistic regression over sparse word 1- and 2-grams tells licence families and
-'unknown' apart. It is trained on the families' templates, on templates with words left out, and on a bounded sample
+'unknown' apart. It is trained on the families' templates, on templates with words left out or inside other words, and on a bounded sample
 of the corpus's own paragraphs as unknown; the share of n-grams that no template has is a feature. The level that a
-family's probability must reach is set on sampled paragraphs held out from training, so that at most one in a thousand
-of the unknown passes. A prediction stands only if a template of that family confirms it.
+family's probability must reach is set on sampled paragraphs held out from training: what one in a thousand of the
+unknown passes, but 0.5 at least and 0.95 at most. A prediction stands only if a template of that family confirms it.
 """
 
 from __future__ import annotations
@@ -40,11 +40,12 @@ TEMPLATES = {
     "all-rights-reserved": ["All rights reserved."],
 }
 FAMILIES = sorted(TEMPLATES)
-SAMPLE, ROUNDS, STEP, CONFIRM = 4000, 25, 4.0, 0.8
+SAMPLE, INSIDE, ROUNDS, STEP, CONFIRM = 4000, 60, 25, 4.0, 0.8
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9]+"), F.lit(0))
+    """Words [a-z0-9]+ of lower-cased text."""
+    return F.array_remove(F.split(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "), " "), "")
 
 
 def grams_of(words: Column) -> Column:
@@ -103,14 +104,22 @@ def train_scanner(docs: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS) -
             short = [w[:i] + w[i + 1 :] for i in range(len(w))] if len(w) > 4 else []
             known += [(c, _py_grams(x)) for x in [w, w, w, *short]]
     lines = docs.select(F.explode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")).alias("line")).where("trim(line) <> ''")
-    drawn = lines.orderBy(F.xxhash64("line"), "line").limit(sample).select(words_of(F.col("line")).alias("w"), (F.pmod(F.xxhash64("line", F.lit(1)), F.lit(4)) == 0).alias("held"))
+    n = docs.agg(F.sum(F.size(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")))).first()[0] or 1
+    near = F.pmod(F.xxhash64("line", F.lit(2)), F.lit(1 << 30)) < min(1 << 30, (1 << 30) * 4 * sample // n)  # only those come to be sorted
+    drawn = lines.where(near).dropDuplicates(["line"]).orderBy(F.xxhash64("line"), "line").limit(sample).select(words_of(F.col("line")).alias("w"), (F.pmod(F.xxhash64("line", F.lit(1)), F.lit(4)) == 0).alias("held"))
     maybe = F.lit(False)
     for f in FAMILIES:
         for t in TEMPLATES[f]:
             w = sorted(set(_py_words(t)))
             maybe = maybe | (F.size(F.array_intersect("w", F.array(*[F.lit(x) for x in w]))) >= math.ceil(CONFIRM * len(w)))
     unknown = drawn.where(~maybe).select(F.lit(len(FAMILIES)).alias("y"), let(F.col("w"), grams_of).alias("grams"), "held")
-    rows = spark.createDataFrame(known, "y int, grams array<string>").withColumn("held", F.lit(False)).unionByName(unknown)
+    # Templates within other words: each inside some sampled paragraphs' first words.
+    short = drawn.where(~maybe & (F.size("w") > 3)).limit(INSIDE).select(F.slice("w", 1, 16).alias("w"))
+    parts = F.explode(F.array(*[F.struct(F.lit(c).alias("y"), F.array(*[F.lit(x) for x in _py_words(t)]).alias("t")) for c, f in enumerate(FAMILIES) for t in TEMPLATES[f]]))
+    half = F.floor(F.size("w") / 2).cast("int")
+    inside = short.select("w", parts.alias("p")).select("p.y", F.concat(F.slice("w", 1, half), F.col("p.t"), F.slice("w", half + 1, F.lit(16))).alias("w"))
+    inside = inside.select("y", let(F.col("w"), grams_of).alias("grams"), F.lit(False).alias("held"))
+    rows = spark.createDataFrame(known, "y int, grams array<string>").withColumn("held", F.lit(False)).unionByName(unknown).unionByName(inside)
     data = written(_vectors(rows, vocabulary).coalesce(4), "paragraphs")
     k, v = len(FAMILIES) + 1, len(vocabulary)
     n = {r["y"]: r["n"] for r in data.where("not held").groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -153,7 +162,6 @@ def scan_licenses(docs: DataFrame, model: Model) -> DataFrame:
     # A repeated row adds its grams again: counts of a gram are divided by how often the row comes.
     times = rows.groupBy("doc_id", "th").agg(F.count("*").alias("times"), F.first(F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))).alias("n_paragraphs"))
     found = hits.groupBy("doc_id", "th", "line", "n").agg(F.count("*").alias("m"), F.collect_set("word").alias("own"), *[F.sum(f"w{c}").alias(f"s{c}") for c in range(k)])
-    found = found.where(F.size("own") >= 2)  # fewer words confirm no template
     found = found.join(times.where("times > 1").select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "times"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")), "left").withColumn("r", F.coalesce("times", F.lit(1)))
     z = [F.col(f"s{c}") / F.col("r") / F.sqrt(F.col("n").cast("double")) + (1 - F.col("m") / F.col("r") / F.col("n")) * float(model.weights[-1, c]) + float(model.bias[c]) for c in range(k)]
     found = found.select("doc_id", "th", "line", "own", *[z[c].alias(f"z{c}") for c in range(k)])
