@@ -369,7 +369,7 @@ def test_op1_meets_targets(spark):
     assert mixed.columns == few.columns
 
 
-def test_rates_equal_projected_gradient(spark):
+def test_rates_meet_targets_and_are_not_negative(spark):
     g = np.random.default_rng(6)
     p, n = g.dirichlet([0.2] * 3, 200), g.integers(1, 500, 200)
     rows = [(1, int(k), *map(float, q)) for k, q in zip(n, p)]
