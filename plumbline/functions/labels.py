@@ -68,15 +68,20 @@ def bbox(text: Column) -> Column:
     return F.when(ok, F.struct(*[F.try_element_at(p, F.lit(i + 1)).alias(n) for i, n in enumerate(("x1", "y1", "x2", "y2"))]))
 
 
+# Phrases of quality reports, case and all.
+FAIL_PHRASES = ["more than 2.5 times the average GSD", "more than 20%", "less than 100%"]
+WARN_PHRASES = ["percentage of difference between", "Median of fewer than"]
+
+
 def severity(text: Column) -> Column:
-    """fail before warn before ok; null for null and blank text."""
-    low = F.lower(text)
-    return F.when(F.trim(low) == "", F.lit(None)).when(low.rlike("fail|error|✗"), "fail").when(low.rlike("warn|⚠"), "warn").when(low.isNotNull(), "ok")
+    """fail before warn before ok, by the phrases that a report's detail holds; null for null and empty text."""
+    holds = lambda phrases: F.exists(F.array(*[F.lit(x) for x in phrases]), lambda x: F.contains(text, x))
+    return F.when(text == "", F.lit(None)).when(holds(FAIL_PHRASES), "fail").when(holds(WARN_PHRASES), "warn").when(text.isNotNull(), "ok")
 
 
 def survey_tool(application: Column) -> Column:
     low = F.lower(application)
-    return F.when(low.contains("pix4d"), "pix4d").when(low.contains("odm") | low.contains("opendronemap"), "odm").otherwise("unknown")
+    return F.when(low.contains("pix4d"), "pix4d").when(low.contains("odm") | low.contains("opendrone"), "odm").otherwise("unknown")
 
 
 def strip_namespaces(xml: Column) -> Column:

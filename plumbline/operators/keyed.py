@@ -98,8 +98,31 @@ def compare_taggers(a: DataFrame, b: DataFrame, near: float = 20.0) -> DataFrame
     return counts.join(stats, "label", "left").withColumn("kind", kind)
 
 
-def monuments(df: DataFrame, near_local: DataFrame, words: str = "brass|alum cap|monument|disk") -> DataFrame:
+# Words of a description that tell a monument.
+MONUMENT_WORDS = ["brass", "alum cap", "plastic cap", "rebar", "monument", "ngs", "control pt", "control peg", "survey marker", "survey m"]
+
+
+def monuments(df: DataFrame, near_local: DataFrame, words: list[str] = MONUMENT_WORDS) -> DataFrame:
     """is_monument: Local, or Global near a Local (near_local: tid), or described as one."""
     flagged = df.join(near_local.select("tid").distinct().withColumn("near", F.lit(True)), "tid", "left")
-    told = F.lower(F.coalesce("description", F.lit(""))).rlike(words) if "description" in df.columns else F.lit(False)
+    told = F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(F.lower(F.coalesce("description", F.lit(""))), w)) if "description" in df.columns else F.lit(False)
     return flagged.withColumn("is_monument", (F.col("origin") == "Local") | F.coalesce("near", F.lit(False)) | told).drop("near")
+
+
+def actionable(checks: DataFrame, points: DataFrame) -> DataFrame:
+    """Findings (severity, message) of a quality report: checks (name, severity, detail) that fail or warn, and points
+    (label, verified, marked) of which marks were rejected, or that none has."""
+    one = checks.where(F.col("severity").isin("fail", "warn")).select("severity", F.concat("name", F.lit(": "), "detail").alias("message"))
+    say = lambda *parts: F.concat(F.lit("GCP "), F.col("label"), *[F.lit(x) if not isinstance(x, Column) else x.cast("string") for x in parts])
+    v, m = F.col("verified"), F.col("marked")
+    rejected = points.where((m > 0) & (v < m)).select(F.lit("warn").alias("severity"), say(": solver verified ", v, "/", m, " marks (rejected ", m - v, " as outliers)").alias("message"))
+    untagged = points.where(m == 0).select(F.lit("warn").alias("severity"), say(": 0 marks placed (untagged)").alias("message"))
+    return one.unionByName(rejected).unionByName(untagged)
+
+
+def role_disagreement(points: DataFrame, report: DataFrame) -> DataFrame:
+    """Points (label, grp) whose role (GCP: control, else checkpoint) differs from the report's (label, role); a row of the
+    report without a role differs too, a point that the report lacks doesn't."""
+    own = F.when(F.col("grp") == "GCP", "control").otherwise("checkpoint")
+    both = points.withColumn("own_role", own).join(report.select("label", "role"), "label")
+    return both.withColumn("disagrees", F.coalesce(F.col("role"), F.lit("")) != F.col("own_role"))

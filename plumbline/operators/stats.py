@@ -21,17 +21,17 @@ def rms(v: Column) -> Column:
 
 
 def residuals(df: DataFrame, est=("x", "y", "z"), true=("survey_x", "survey_y", "survey_z")) -> DataFrame:
-    """dX, dY, dZ, dH and d3D, rounded to 6 places before they are aggregated."""
+    """dX, dY, dZ, dH and d3D, rounded half to even to 6 places before they are aggregated."""
     d = [F.col(a) - F.col(b) for a, b in zip(est, true)]
     h = F.sqrt(d[0] * d[0] + d[1] * d[1])
     out = {"dX": d[0], "dY": d[1], "dZ": d[2], "dH": h, "d3D": F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2])}
-    return df.withColumns({k: F.round(v, 6) for k, v in out.items()})
+    return df.withColumns({k: F.bround(v, 6) for k, v in out.items()})
 
 
 def group_stats(df: DataFrame, group: str, groups: list[str]) -> DataFrame:
-    """n, RMS of each axis, mean and population deviation of dZ; groups without rows have n 0 and nulls."""
+    """n, RMS of each axis, mean and population deviation of dZ, to 6 places; groups without rows have n 0 and nulls."""
     names = df.sparkSession.createDataFrame([(g,) for g in groups], f"{group} string")
-    agg = df.groupBy(group).agg(F.count("*").alias("n"), *[rms(F.col(c)).alias(f"rms_{c}") for c in ("dX", "dY", "dZ", "dH", "d3D")], F.avg("dZ").alias("mean_dZ"), F.stddev_pop("dZ").alias("std_dZ"))
+    agg = df.groupBy(group).agg(F.count("*").alias("n"), *[F.bround(rms(F.col(c)), 6).alias(f"rms_{c}") for c in ("dX", "dY", "dZ", "dH", "d3D")], F.bround(F.avg("dZ"), 6).alias("mean_dZ"), F.bround(F.stddev_pop("dZ"), 6).alias("std_dZ"))
     return F.broadcast(names).join(agg, group, "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
@@ -103,27 +103,32 @@ def pca(df: DataFrame, key: str, x: str, y: str) -> DataFrame:
     return s.withColumn("coherence", F.when(F.col("l1") + F.col("l2") > 0, (F.col("l1") - F.col("l2")) / (F.col("l1") + F.col("l2")))).drop("a", "b", "c")
 
 
-def box_consistent(df: DataFrame, key: str, size: str, ratio: float = 1.5) -> DataFrame:
-    """keep: size within a ratio of its key's median; keys of one row and medians under 1 aren't judged."""
-    m = df.groupBy(key).agg(F.median(size).alias("med"), F.count(size).alias("k"))
-    out = df.join(m, key)
-    judged = (F.col("k") >= 2) & (F.col("med") >= 1)
-    return out.withColumn("keep", ~judged | (F.col(size) / F.col("med")).between(1 / ratio, ratio)).drop("k")
+def box_consistent(df: DataFrame, key: str, size: str, ratio: float = 1.5, src: str = "src") -> DataFrame:
+    """reverted: a `color` detection whose box is more than a ratio off the median of its key's `color` boxes; its src
+    becomes projection. Keys with one such box and medians under 1 aren't judged, boxes without a size neither."""
+    color = (F.col(src) == "color") & (F.col(size) != 0)
+    m = df.where(color).groupBy(key).agg(F.median(size).alias("med"), F.count(size).alias("_k"))
+    out = df.join(m, key, "left")
+    off = color & (F.col("_k") >= 2) & (F.col("med") >= 1) & ~(F.col(size) / F.col("med")).between(1 / ratio, ratio)
+    out = out.withColumn("reverted", F.coalesce(off, F.lit(False))).drop("_k")
+    return out.withColumn(src, F.when(F.col("reverted"), "projection").otherwise(F.col(src)))
 
 
 def overflow_list(df: DataFrame, key: str, item: str, order: str, n: int = 5) -> DataFrame:
     """The n items of highest order, joined, with +k for those left out."""
-    got = df.groupBy(key).agg(F.sort_array(F.collect_list(F.struct((-F.col(order)).alias("o"), F.col(item).alias("i")))).alias("l"))
-    names = F.array_join(F.transform(F.slice("l", 1, n), lambda x: x["i"].cast("string")), ",")
-    return got.select(key, F.concat(names, F.when(F.size("l") > n, F.concat(F.lit(" +"), (F.size("l") - n).cast("string"))).otherwise("")).alias("listed"))
+    first = df.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order), item))).where(F.col("_k") <= n)  # a limit within each task first
+    names = first.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_k", F.col(item).cast("string").alias("i")))), lambda x: x["i"]), ",").alias("names"))
+    more = df.groupBy(key).agg((F.count("*") - n).alias("more"))
+    return names.join(more, key).select(key, F.concat("names", F.when(F.col("more") > 0, F.concat(F.lit(" +"), F.col("more").cast("string"))).otherwise("")).alias("listed"))
 
 
-def rate(df: DataFrame, keys: list[str], ts: str, value: str, seconds: int) -> DataFrame:
-    """A counter's rise per second over a trailing window, falls counting as resets."""
-    w = Window.partitionBy(*keys).orderBy(F.col(ts).cast("long"))
-    rise = F.col(value) - F.lag(value).over(w)
+def rate(df: DataFrame, keys: list[str], ts: str, value: str, seconds: int, order: str | None = None) -> DataFrame:
+    """A counter's rise per second over a trailing window, falls counting as resets; rows of one second are ordered by
+    `order`, and all count in each other's window."""
+    at = F.col(ts).cast("long")
+    rise = F.col(value) - F.lag(value).over(Window.partitionBy(*keys).orderBy(at, *([order] if order else [])))
     df = df.withColumn("_rise", F.when(rise < 0, F.col(value)).otherwise(F.coalesce(rise, F.lit(0.0))))
-    return df.withColumn("rate", F.sum("_rise").over(w.rangeBetween(-seconds, 0)) / seconds).drop("_rise")
+    return df.withColumn("rate", F.sum("_rise").over(Window.partitionBy(*keys).orderBy(at).rangeBetween(-seconds, 0)) / seconds).drop("_rise")
 
 
 def idle_runs(df: DataFrame, keys: list[str], order: str, idle: Column, limit: int = 9) -> DataFrame:

@@ -41,7 +41,7 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 # ------------------------------------------------------------------ marks, tiers, labels
 
 
-@query("s01_p03_f01_a05_a06_o01_tiers", f"""
+@query("p03_f01_a05_a06_tiers", f"""
 with n as (select {NORM} as norm, min(label) as label from fx_t group by 1),
 k as (select {NORM} as norm, count(*) as marks from fx_g join fx_t using (tid) where src = 'tagged' group by 1),
 v as (select {NORM} as norm, count(distinct iid) as visible from fx_e join fx_t using (tid) group by 1)
@@ -57,7 +57,7 @@ def tiers(spark, d):
     return out.orderBy(K.rank_of(F.col("tier"), K.TIER_RANK, 9), F.desc("marks"), "label")
 
 
-@query("f02_f03_f04_f05_f07_f08_labels", """
+@query("f02_f03_f04_f05_f07_labels", """
 select tid, regexp_replace(regexp_replace(label, '^(CHK-|GCP-|DUP-)', ''), '-dup[0-9]*$', '') as base, (label like 'DUP-%' or regexp_matches(label, '-dup[0-9]*$')) as is_dup,
  cast(regexp_extract('EPSG:' || (6529 + tid % 3), '([0-9]+)', 1) as integer) as epsg, printf('%.3f', ellip_alt_m) as alt3,
  regexp_replace(regexp_replace(printf('%.3f', ellip_alt_m), '(\\.\\d*?)0+$', '\\1'), '\\.$', '') as alt_trim from fx_t""", "t")
@@ -71,7 +71,7 @@ def short_image(spark, d):
     return view(spark, d, "i").select("iid", L.short_image(F.concat(F.lit("C:\\x\\"), F.col("image"))).alias("short"))
 
 
-@query("p04_u02_role_routing", """select case when label like 'GCP-%' then 'GCP' when label like 'CHK-%' then 'CHK' else 'other' end as role, count(*) as n, count(distinct iid) as n_images from fx_g join fx_t using (tid) group by 1""", "tg")
+@query("p04_role_routing", """select case when label like 'GCP-%' then 'GCP' when label like 'CHK-%' then 'CHK' else 'other' end as role, count(*) as n, count(distinct iid) as n_images from fx_g join fx_t using (tid) group by 1""", "tg")
 def routing(spark, d):
     role = F.when(F.col("label").startswith("GCP-"), "GCP").when(F.col("label").startswith("CHK-"), "CHK").otherwise("other")
     return view(spark, d, "g").join(F.broadcast(view(spark, d, "t").select("tid", role.alias("role"))), "tid").groupBy("role").agg(F.count("*").alias("n"), F.countDistinct("iid").alias("n_images"))
@@ -94,10 +94,12 @@ def exclude(spark, d):
 
 
 @query("p09_p10_j07_monuments", """
-with near as (select distinct a.tid from fx_t a join fx_t b on a.origin = 'Global' and b.origin = 'Local' and sqrt(pow((b.lon - a.lon) * 111319.9 * cos(radians(a.lat)), 2) + pow((b.lat - a.lat) * 111319.9, 2)) <= 40)
-select t.tid, (origin = 'Local' or n.tid is not null) as is_monument from fx_t t left join near n on t.tid = n.tid""", "t")
+with d as (select *, case tid % 6 when 1 then '3" BRASS disk' when 2 then 'Plastic Cap on rod' when 3 then 'aerial target' when 4 then 'nail, disk' end as description from fx_t),
+near as (select distinct a.tid from d a join d b on a.origin = 'Global' and b.origin = 'Local' and sqrt(pow((b.lon - a.lon) * 111319.9 * cos(radians((a.lat + b.lat) / 2)), 2) + pow((b.lat - a.lat) * 111319.9, 2)) <= 40)
+select t.tid, (origin = 'Local' or n.tid is not null or regexp_matches(lower(coalesce(description, '')), 'brass|alum cap|plastic cap|rebar|monument|ngs|control pt|control peg|survey marker|survey m')) as is_monument from d t left join near n on t.tid = n.tid""", "t")
 def monuments(spark, d):
-    t = view(spark, d, "t")
+    k = F.col("tid") % 6
+    t = view(spark, d, "t").withColumn("description", F.when(k == 1, '3" BRASS disk').when(k == 2, "Plastic Cap on rod").when(k == 3, "aerial target").when(k == 4, "nail, disk"))
     near = S.nearest_within(t.where("origin = 'Global'"), t.where("origin = 'Local'"), 40.0, 36.8, "tid").select(F.col("l_tid").alias("tid"))
     return K.monuments(t, near).select("tid", "is_monument")
 
@@ -108,15 +110,44 @@ def outliers(spark, d):
     return A.outliers(view(spark, d, "t").select("tid", ((F.col("tid") * 31) % 97).cast("double").alias("dh")).withColumn("dh", F.col("dh") / 8), "dh", 1.5)
 
 
-@query("p16_severity", """
-select p_partkey, case when p_partkey % 7 = 0 then 'fail' when p_partkey % 5 = 0 then 'warn' when p_partkey % 3 = 0 then null else 'ok' end as sev from part""")
+DETAILS = ["error 3 more than 2.5 times the average GSD", "relative difference more than 20%", "less than 100% of cameras", "percentage of difference between", "Median of fewer than 10000 matches", "", None, "FAILED, a warning", "MEDIAN OF FEWER THAN"]
+DETAIL = "case p_partkey % 9 " + " ".join(f"when {i} then '{x}'" for i, x in enumerate(DETAILS) if x is not None) + " end as detail"
+SEVERITY = "case when detail = '' then null when contains(detail, 'more than 2.5 times the average GSD') or contains(detail, 'more than 20%') or contains(detail, 'less than 100%') then 'fail' when contains(detail, 'percentage of difference between') or contains(detail, 'Median of fewer than') then 'warn' when detail is not null then 'ok' end"
+
+
+def _details(spark, d):
+    return table(spark, d, "part").select("p_partkey", F.element_at(F.array(*[F.lit(x) for x in DETAILS]), (F.col("p_partkey") % len(DETAILS) + 1).cast("int")).alias("detail"))
+
+
+@query("p16_severity", f"select p_partkey, {SEVERITY} as sev from (select p_partkey, {DETAIL} from part)")
 def severities(spark, d):
-    k = F.col("p_partkey")
-    text = F.when(k % 7 == 0, "Check FAILED, warning").when(k % 5 == 0, "a Warning").when(k % 3 == 0, " ").otherwise("fine")
-    return table(spark, d, "part").select("p_partkey", L.severity(text).alias("sev"))
+    return _details(spark, d).select("p_partkey", L.severity(F.col("detail")).alias("sev"))
+
+
+@query("p17_actionable", f"""
+with c as (select 'check ' || p_partkey as name, detail, {SEVERITY} as severity from (select p_partkey, {DETAIL} from part)),
+p as (select label, case when tid % 5 <> 0 then tid % 4 end as marked, case when tid % 7 <> 0 then tid % 3 end as verified from fx_t)
+select severity, name || ': ' || detail as message from c where severity in ('fail', 'warn')
+union all select 'warn', 'GCP ' || label || ': solver verified ' || verified || '/' || marked || ' marks (rejected ' || (marked - verified) || ' as outliers)' from p where marked > 0 and verified < marked
+union all select 'warn', 'GCP ' || label || ': 0 marks placed (untagged)' from p where marked = 0""", "t")
+def actionable(spark, d):
+    checks = _details(spark, d).select(F.concat(F.lit("check "), F.col("p_partkey").cast("string")).alias("name"), "detail", L.severity(F.col("detail")).alias("severity"))
+    k = F.col("tid")
+    points = view(spark, d, "t").select("label", F.when(k % 5 != 0, k % 4).alias("marked"), F.when(k % 7 != 0, k % 3).alias("verified"))
+    return K.actionable(checks, points)
 
 
-@query("p19_a19_survey_checks", """
+@query("p18_role_disagreement", """
+with r as (select tid, label, case when tid % 4 = 0 then null when tid % 4 < 3 then 'control' else 'checkpoint' end as role from fx_t where tid % 6 <> 5)
+select tid, role, coalesce(role, '') <> case when label like 'GCP-%' then 'control' else 'checkpoint' end as disagrees from r""", "t")
+def role_disagreement(spark, d):
+    k = F.col("tid")
+    t = view(spark, d, "t").select("tid", "label", F.when(F.col("label").startswith("GCP-"), "GCP").otherwise("CHK").alias("grp"))
+    report = t.where(k % 6 != 5).select("label", F.when(k % 4 == 0, None).when(k % 4 < 3, "control").otherwise("checkpoint").alias("role"))
+    return K.role_disagreement(t, report).select("tid", "role", "disagrees")
+
+
+@query("p19_survey_checks", """
 select tid, concat_ws(', ', case when solution_status <> 'FIX' then 'status ' || solution_status end, case when tid % 9 < 5 then 'samples ' || (tid % 9) end, case when cast(tid % 11 as double) / 2 > 4 then 'pdop' end) as notes from fx_t
 where solution_status <> 'FIX' or tid % 9 < 5 or cast(tid % 11 as double) / 2 > 4""", "t")
 def survey_checks(spark, d):
@@ -158,7 +189,7 @@ def _taggers(spark, d):
     return g.drop("l_partkey"), g.where("l_partkey % 3 <> 0").withColumn("px", F.col("px") + F.col("label") % 30).drop("l_partkey")
 
 
-@query("j04_a10_w03_u01_o07_compare", """
+@query("j04_a10_w03_u01_compare", """
 with a as (select tid as label, iid as image, max_by(px, (l_linenumber, l_partkey, src)) as ax, max_by(py, (l_linenumber, l_partkey, src)) as ay from fx_g group by 1, 2),
 b as (select tid as label, iid as image, max_by(px + tid % 30, (l_linenumber, l_partkey, src)) as bx, max_by(py, (l_linenumber, l_partkey, src)) as by_ from fx_g where l_partkey % 3 <> 0 group by 1, 2),
 m as (select label, count(*) as n_match, median(sqrt((ax-bx)*(ax-bx) + (ay-by_)*(ay-by_))) as med_off, max(sqrt((ax-bx)*(ax-bx) + (ay-by_)*(ay-by_))) as max_off, count_if(sqrt((ax-bx)*(ax-bx) + (ay-by_)*(ay-by_)) <= 20) as n_near from a join b using (label, image) group by 1),
@@ -168,7 +199,7 @@ def compare(spark, d):
     return rounded(K.compare_taggers(*_taggers(spark, d)))
 
 
-@query("j05_a11_o09_errors", """
+@query("j05_a11_errors", """
 with x as (select g.tid, sqrt((g.px - e.px) * (g.px - e.px) + (g.py - e.py) * (g.py - e.py)) as err from fx_g g left join fx_e e on g.tid = e.tid and g.iid = e.iid and e.src <> 'projection')
 select tid, count(*) as n, cast(count_if(err is null) as bigint) as missing, cast(count_if(err < 5) as bigint) as lt5, cast(count_if(err < 10) as bigint) as lt10, cast(count_if(err >= 50) as bigint) as ge50, round(avg(err), 6) as mean_err, round(max(err), 6) as max_err from x group by 1""", "ge")
 def errors(spark, d):
@@ -209,7 +240,7 @@ def _faces(spark, d):
     return S.faces_with_points(f, p)
 
 
-@query("j09_j17_f21_a20_tin_heights", f"""
+@query("j09_j17_f21_tin_heights", f"""
 with {TRI}, q as (select tid as pid, cast(tid * 37 % 190 as double) + 0.25 as x, cast(tid * 11 % 400 as double) + 0.25 as y from fx_t),
 w as (select pid, x, y, fid, ((y2-y3)*(x-x3)+(x3-x2)*(y-y3))/((y2-y3)*(x1-x3)+(x3-x2)*(y1-y3)) as a, ((y3-y1)*(x-x3)+(x1-x3)*(y-y3))/((y2-y3)*(x1-x3)+(x3-x2)*(y1-y3)) as b, z1, z2, z3 from q join tri on x between least(x1,x2,x3) and greatest(x1,x2,x3) and y between least(y1,y2,y3) and greatest(y1,y2,y3)),
 h as (select *, row_number() over (partition by pid order by fid) as rn from w where a between -1e-9 and 1+1e-9 and b between -1e-9 and 1+1e-9 and 1-a-b between -1e-9 and 1+1e-9)
@@ -273,7 +304,7 @@ def prefix_lookup(spark, d):
     return t.join(a, F.col("bare") == F.col("ka"), "left").join(b, F.col("label") == F.col("kb"), "left").select("label", F.coalesce("ta", "tb").alias("found"))
 
 
-@query("j20_s12_p13_raster_cells", """
+@query("j20_p13_raster_cells", """
 with c as (select p_partkey % 20 as col, p_partkey // 20 as row, case when p_partkey % 9 = 0 then -9999.0 else p_retailprice end as v from part), q as (select tid, cast(tid * 37 % 210 as double) + 0.5 as x, cast(tid * 11 % 400 as double) + 0.5 as y from fx_t)
 select tid, round(nullif(cast(v as double), -9999), 4) as value from q left join c on col = floor(x / 10) and row = floor(y / 10)""", "t")
 def raster_cells(spark, d):
@@ -291,14 +322,14 @@ def selection(spark, d):
 
 
 @query("j24_a28_ablation", """
-with v as (select tid, round(cast((tid * 31) % 97 as double) / 100, 6) as dh, cast((tid * 31) % 97 as double) / 100 > 0.9 as outlier from fx_t), k(n, excl) as (select * from (values (1), (3), (5), (7)) a(n), (values (false), (true)) b(e))
-select cast(n as integer) as n_images, excl, count(*) as n, round(sqrt(avg(dh * dh)), 6) as rms from v, k where not (excl and outlier) and tid % 8 < n group by 1, 2""", "t")
+with r as (select tid, iid, row_number() over (partition by tid order by iid) as k, cast((tid * 31 + iid * 7) % 97 as double) / 100 as dh from fx_e), g(n, excl) as (select * from (values (1), (3), (5), (7), (null)) a(n), (values (false), (true)) b(e)),
+v as (select n, excl, tid, round_even(avg(dh), 6) as dh from r, g where n is null or r.k <= n group by all)
+select coalesce(cast(n as varchar), 'all') as n_images, excl, count(*) as n, round(sqrt(avg(dh * dh)), 6) as rms from v where not (excl and dh > 0.6) group by 1, 2""", "e")
 def ablation(spark, d):
-    grid = spark.createDataFrame([(n, e) for n in (1, 3, 5, 7) for e in (False, True)], "n_images int, excl boolean")  # eight rows
-    raw = ((F.col("tid") * 31) % 97).cast("double") / 100
-    v = view(spark, d, "t").select("tid", F.round(raw, 6).alias("dh"), (raw > 0.9).alias("outlier"))
-    x = v.crossJoin(F.broadcast(grid)).where("not (excl and outlier) and tid % 8 < n_images")
-    return rounded(x.groupBy("n_images", "excl").agg(F.count("*").alias("n"), A.rms(F.col("dh")).alias("rms")))
+    rows = view(spark, d, "e").withColumn("dh", ((F.col("tid") * 31 + F.col("iid") * 7) % 97).cast("double") / 100).withColumn("k", F.row_number().over(Window.partitionBy("tid").orderBy("iid")))
+    grid = F.explode(F.array(*[F.struct(F.lit(n).cast("int").alias("n"), F.lit(e).alias("excl")) for n in (1, 3, 5, 7, None) for e in (False, True)])).alias("g")
+    v = rows.select("tid", "dh", "k", grid).where("g.n is null or k <= g.n").groupBy("g.n", "g.excl", "tid").agg(F.bround(F.avg("dh"), 6).alias("dh")).where("not (excl and dh > 0.6)")
+    return rounded(v.groupBy(F.coalesce(F.col("n").cast("string"), F.lit("all")).alias("n_images"), "excl").agg(F.count("*").alias("n"), A.rms(F.col("dh")).alias("rms")))
 
 
 @query("j25_w05_duplicates", """
@@ -315,12 +346,12 @@ def duplicates(spark, d):
 with r as (select case when label like 'GCP-%' then 'GCP' else 'CHK' end as grp, round(cast(tid % 13 as double) / 8, 6) as x, round(cast(tid % 7 as double) / 16, 6) as y, round(cast(tid % 5 as double) / 4 - 0.5, 6) as z from fx_t),
 s as (select grp, count(*) as n, sqrt(avg(x*x)) as a, sqrt(avg(y*y)) as b, sqrt(avg(z*z)) as c, sqrt(avg(round(sqrt(x*x+y*y),6)*round(sqrt(x*x+y*y),6))) as h, avg(z) as m, stddev_pop(z) as sd from r group by 1),
 u as (select grp, unnest(['rms_dX','rms_dY','rms_dZ','rms_dH','mean_dZ','std_dZ']) as metric, unnest([a,b,c,h,m,sd]) as value from s)
-select metric, round(max(case when grp = 'GCP' then value end), 5) as "GCP", round(max(case when grp = 'CHK' then value end), 5) as "CHK" from u group by 1""", "t")
+select metric, round_even(max(case when grp = 'GCP' then value end), 6) as "GCP", round_even(max(case when grp = 'CHK' then value end), 6) as "CHK" from u group by 1""", "t")
 def group_stats(spark, d):
     k = F.col("tid")
     t = view(spark, d, "t").select(F.when(F.col("label").startswith("GCP-"), "GCP").otherwise("CHK").alias("grp"), ((k % 13).cast("double") / 8).alias("x"), ((k % 7).cast("double") / 16).alias("y"), ((k % 5).cast("double") / 4 - 0.5).alias("z"), *[F.lit(0.0).alias(f"survey_{a}") for a in "xyz"])
     s = A.group_stats(A.residuals(t), "grp", ["GCP", "CHK"])
-    return rounded(A.side_by_side(s, "grp", ["rms_dX", "rms_dY", "rms_dZ", "rms_dH", "mean_dZ", "std_dZ"]), 5)
+    return A.side_by_side(s, "grp", ["rms_dX", "rms_dY", "rms_dZ", "rms_dH", "mean_dZ", "std_dZ"])
 
 
 @query("a02_a03_a04_medians", """
@@ -353,7 +384,7 @@ def consensus(spark, d):
     return rounded(A.consensus(_offsets(spark, d)), 5)
 
 
-@query("a13_j02_triangulation", """
+@query("a13_triangulation", """
 with r as (select tid as label, cast(iid % 40 as double) * 5 as cx, cast(iid % 30 as double) * 7 as cy, 100.0 + cast(iid % 9 as double) as cz, cast(tid % 50 as double) as tx, cast(tid % 40 as double) as ty, cast(tid % 5 as double) as tz from fx_e),
 k as (select label, count(distinct (cx, cy, cz)) as n, count(*) as m, any_value(tx) as tx, any_value(ty) as ty, any_value(tz) as tz from r group by 1)
 select label, m as n_rays, case when n >= 2 then tx end as x, case when n >= 2 then ty end as y, case when n >= 2 then tz end as z from k""", "e")
@@ -365,7 +396,7 @@ def triangulation(spark, d):
     return A.triangulate(r).select("label", "n_rays", *[(F.round(a, 4) + 0.0).alias(a) for a in "xyz"])
 
 
-@query("a16_a18_p15_tile_stats", """
+@query("a16_p15_tile_stats", """
 select p_size, count(*) as n, round(min(p_retailprice), 4) as lo, round(max(p_retailprice), 4) as hi, round(avg(p_retailprice), 4) as mean, round(stddev_pop(p_retailprice), 4) as sd, max(p_partkey % 7) = 0 as empty from part group by 1""")
 def tile_stats(spark, d):
     v = F.col("p_retailprice").cast("double")
@@ -373,11 +404,12 @@ def tile_stats(spark, d):
 
 
 @query("a17_w10_box_consistency", """
-with b as (select tid, iid, cast(1 + (tid * 7 + iid * 13) % 40 as double) as size from fx_e), m as (select tid, median(size) as med, count(*) as k from b group by 1)
-select tid, iid, size, round(med, 6) as med, (k < 2 or med < 1 or size / med between 1 / 1.5 and 1.5) as keep from b join m using (tid)""", "e")
+with b as (select tid, iid, src, cast((tid * 7 + iid * 13) % 40 as double) as size from fx_e), m as (select tid, median(size) as med, count(*) as k from b where src = 'color' and size <> 0 group by 1),
+r as (select tid, iid, src, size, med, src = 'color' and size <> 0 and k >= 2 and med >= 1 and not (size / med between 1 / 1.5 and 1.5) as reverted from b left join m using (tid))
+select tid, iid, size, round(med, 6) as med, coalesce(reverted, false) as reverted, case when reverted then 'projection' else src end as src from r""", "e")
 def boxes(spark, d):
-    b = view(spark, d, "e").select("tid", "iid", (1 + (F.col("tid") * 7 + F.col("iid") * 13) % 40).cast("double").alias("size"))
-    return rounded(A.box_consistent(b, "tid", "size")).select("tid", "iid", "size", "med", "keep")
+    b = view(spark, d, "e").select("tid", "iid", "src", ((F.col("tid") * 7 + F.col("iid") * 13) % 40).cast("double").alias("size"))
+    return rounded(A.box_consistent(b, "tid", "size")).select("tid", "iid", "size", "med", "reverted", "src")
 
 
 @query("a21_anchor_agreement", """
@@ -462,7 +494,7 @@ def best_view(spark, d):
     return S.best_camera(v, ["tid"])
 
 
-@query("w13_t01_s08_replay", """
+@query("w13_t01_replay", """
 with gone as (select tid, max(seq) as g from fx_m where op = 'RemoveTiePoints' group by 1), last as (select iid, tid, max(seq) as seq, max_by(px, seq) as px from fx_m where op = 'MarkTiePoint' group by 1, 2)
 select iid, last.tid, seq, round(px, 6) as px from last left join gone on last.tid = gone.tid where g is null or seq > g""", "m")
 def replay(spark, d):
@@ -470,7 +502,7 @@ def replay(spark, d):
     return Y.replay(m).select(F.col("image").alias("iid"), F.col("label").alias("tid"), "seq", F.round("px", 6).alias("px"))
 
 
-@query("w14_a24_t03_rate", """
+@query("a24_counter_rises", """
 with e as (select event_id, event_type, epoch(ts) as s, value, lag(value) over (partition by event_type order by ts, event_id) as prev from events), r as (select *, case when prev is null then 0 when value < prev then value else value - prev end as rise from e)
 select event_type, count(*) as n, round(sum(rise), 4) as rises from r group by 1""")
 def counter_rate(spark, d):
@@ -481,6 +513,15 @@ def counter_rate(spark, d):
     return rounded(e.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("rise").alias("rises")), 4)
 
 
+@query("w14_trailing_rate", """
+with r as (select event_id, user_id, cast(floor(epoch(ts)) as bigint) as s, value, value - lag(value) over (partition by user_id order by cast(floor(epoch(ts)) as bigint), event_id) as d from events),
+x as (select event_id, user_id, s, case when d < 0 then value else coalesce(d, 0) end as rise from r)
+select event_id, round(sum(rise) over (partition by user_id order by s range between 3600 preceding and current row) / 3600, 6) as rate from x""")
+def trailing_rate(spark, d):
+    e = table(spark, d, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    return A.rate(e, ["user_id"], "ts", "value", 3600, "event_id").select("event_id", F.round("rate", 6).alias("rate"))
+
+
 @query("w16_sections", "select p_partkey, sum(case when p_partkey % 10 = 1 then 1 else 0 end) over (partition by p_size order by p_partkey) as section from part")
 def sections(spark, d):
     w = Window.partitionBy("p_size").orderBy("p_partkey")
@@ -494,7 +535,7 @@ def idle_runs(spark, d):
     return A.idle_runs(table(spark, d, "events").select("user_id", "event_id", "value"), ["user_id"], "event_id", F.col("value") < 40, 3).select("user_id", "event_id", "run", "kill")
 
 
-@query("o02_o06_o08_sorted", "select event_type, count(*) as n, max(value) as top from events group by 1")
+@query("o02_o06_sorted", "select event_type, count(*) as n, max(value) as top from events group by 1")
 def sorted_types(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.max("value").alias("top")).orderBy(F.desc_nulls_last("n"), "event_type")
 
@@ -506,12 +547,7 @@ def top_suspects(spark, d):
     return A.overflow_list(view(spark, d, "e"), "tid", "iid", "px")
 
 
-@query("o05_priority_limit", "select iid, px from (select iid, px from fx_e where tid = 3 order by px desc, iid limit 20)", "e")
-def priority_limit(spark, d):
-    return view(spark, d, "e").where("tid = 3").orderBy(F.desc("px"), "iid").limit(20).select("iid", "px")
-
-
-@query("o05_priority_limit_all_targets", "select iid, tid, px from fx_e order by px desc, iid, tid limit 20", "e")
+@query("o05_priority_limit", "select iid, tid, px from fx_e order by px desc, iid, tid limit 20", "e")
 def priority_limit_all(spark, d):
     return view(spark, d, "e").orderBy(F.desc("px"), "iid", "tid").limit(20).select("iid", "tid", "px")
 
@@ -550,7 +586,7 @@ def robust_points(spark, d):
 # ------------------------------------------------------------------ geodesy, cameras, rasters
 
 
-@query("f15_f16_f23_f24_geodesy", """
+@query("f16_geodesy", """
 with a as (select tid, lat, lon, ellip_alt_m as alt, radians(lat) as la, radians(lon) as lo from fx_t), b as (select *, 1.0 / sqrt(6378137.0e0*6378137.0e0*cos(la)*cos(la) + 6356752.314245e0*6356752.314245e0*sin(la)*sin(la)) as r from a)
 select tid, round((6378137.0e0*6378137.0e0*r + alt)*cos(la)*cos(lo), 3) as ex, round((6378137.0e0*6378137.0e0*r + alt)*cos(la)*sin(lo), 3) as ey, round((6356752.314245e0*6356752.314245e0*r + alt)*sin(la), 3) as ez, round(lat, 8) as lat, round(lon, 8) as lon, round(alt, 4) as alt from b""", "t")
 def geodesy(spark, d):
@@ -570,23 +606,13 @@ def grid_round_trip(spark, d):
 
 
 PROJ = """
-with q as (select i.iid, t.tid, (t.lon - i.lon) * 111319.9 * cos(radians((i.lat + t.lat) / 2)) as e, (t.lat - i.lat) * 111319.9 as n, t.ellip_alt_m - i.abs_alt as u, radians(gimbal_yaw) as psi, radians(gimbal_pitch) as th, case when abs(gimbal_roll - 180) < 1 then -1.0 else 1.0 end as flip from fx_i i join fx_t t on t.tid = i.iid % 10 + 1),
+with q as (select i.iid, t.tid, (t.lon - i.lon) * 111319.9 * cos(radians((i.lat + t.lat) / 2)) as e, (t.lat - i.lat) * 111319.9 as n, t.ellip_alt_m - i.abs_alt as u, radians(gimbal_yaw) as psi, radians(gimbal_pitch) as th, case when abs(gimbal_roll - 180) < 1 then -1.0 else 1.0 end as flip from fx_i i join fx_t t on @FOOT@),
 c as (select iid, tid, flip * (cos(psi)*e - sin(psi)*n) as x, flip * (sin(th)*sin(psi)*e + sin(th)*cos(psi)*n - cos(th)*u) as y, cos(th)*sin(psi)*e + cos(th)*cos(psi)*n + sin(th)*u as z from q),
 f as (select 43.2666 * 12.29 / 24 / sqrt(1 + pow(5280.0/3956, 2)) as sh), p as (select iid, tid, z, 12.29 * 5280 / (sh * 5280.0/3956) * x / z + 2640 as px, 12.29 * 3956 / sh * y / z + 1978 as py from c, f)
 select iid, tid, round(px, 4) as px, round(py, 4) as py from p where z > 0 and px >= 0 and px < 5280 and py >= 0 and py < 3956"""
 
 
-@query("f18_p14_projection", PROJ, "ti")
-def projection(spark, d):
-    i = view(spark, d, "i").withColumn("tid", F.col("iid") % 10 + 1)
-    t = view(spark, d, "t").select("tid", F.col("lat").alias("tlat"), F.col("lon").alias("tlon"), "ellip_alt_m")
-    x = i.join(F.broadcast(t.where("tid <= 10")), "tid")
-    cam = {c: F.col(c) for c in i.columns}
-    px, py = C.project_exif(cam, F.col("tlat"), F.col("tlon"), F.col("ellip_alt_m"))
-    return x.select("iid", "tid", F.round(px, 4).alias("px"), F.round(py, 4).alias("py")).where("px is not null")
-
-
-@query("j01_f18_p14_footprint_projection", PROJ.replace("t.tid = i.iid % 10 + 1", f"{FOOT} <= {RADIUS}"), "ti")
+@query("j01_f18_p14_footprint_projection", PROJ.replace("@FOOT@", f"{FOOT} <= {RADIUS}"), "ti")
 def footprint_projection(spark, d):
     x = _in_footprint(view(spark, d, "t").select("tid", "lat", "lon", "ellip_alt_m"), view(spark, d, "i").drop("image"))
     cam = {c[2:]: F.col(c) for c in x.columns if c.startswith("c_")}
@@ -621,7 +647,7 @@ def occlusion(spark, d):
 # ------------------------------------------------------------------ telemetry (batch forms of the streaming operators)
 
 
-@query("t02_t08_s15_windows", """
+@query("t08_windows", """
 select time_bucket(interval '1 hour', ts) as w_start, time_bucket(interval '1 hour', ts) + interval '1 hour' as w_end, event_type, count(*) as n, round(sum(value), 4) as total, round(avg(value), 4) as mean, round(min(value), 4) as low, round(max(value), 4) as high from events group by 1, 2, 3""")
 def windows(spark, d):
     return rounded(T.windowed(table(spark, d, "events"), "1 hour"), 4)

@@ -6,6 +6,7 @@ read whole, one row each, where a format needs context across lines; surveys' fi
 
 from __future__ import annotations
 
+import csv
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,9 +41,9 @@ def point_file(spark: SparkSession, path: str, tabs_only: bool = False, least: i
 
 # Header words of survey exports, in the order in which they are tried.
 SURVEY_COLUMNS = {
-    "label": ["name", "point", "label", "id"], "lat": ["latitude", "lat"], "lon": ["longitude", "lon"], "ellip_alt": ["ellipsoidal height", "ellip"],
-    "easting": ["easting", " east"], "northing": ["northing", " north"], "elevation": ["elevation", "elev"], "cs_name": ["cs name"],
-    "solution_status": ["solution status"], "origin": ["origin"], "description": ["description"], "easting_rms": ["easting rms"],
+    "label": ["name", "point"], "lat": ["latitude"], "lon": ["longitude"], "ellip_alt": ["ellipsoidal"],
+    "easting": ["easting", " east"], "northing": ["northing", " north"], "elevation": ["elevation"], "cs_name": ["cs name", "coordinate system"],
+    "solution_status": ["solution status", "status"], "origin": ["origin"], "description": ["description"], "easting_rms": ["easting rms"],
     "northing_rms": ["northing rms"], "elevation_rms": ["elevation rms"], "lateral_rms": ["lateral rms"], "samples": ["samples"], "pdop": ["pdop"],
 }
 TEXT_COLUMNS = {"label", "cs_name", "solution_status", "origin", "description"}
@@ -54,24 +55,50 @@ def resolve_headers(headers: list[str], wanted: dict[str, list[str]] = SURVEY_CO
     return {k: next((h for w in words for h, x in low if w in x), None) for k, words in wanted.items()}
 
 
-def survey_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Survey exports as flat rows; blank labels are named gcp_{n} by the rows kept before; repeated labels get ordinals."""
+def survey_csv(spark: SparkSession, path: str, fallback_crs: str | None = None) -> DataFrame:
+    """Survey exports as flat rows; blank labels are named gcp_{n} by the rows kept before; repeated labels get ordinals.
+
+    A lone quote that ends a line is dropped. Rows with a bad number in a coordinate column are skipped, and a blank one
+    but for latitude and longitude; a file without rows left raises ValueError. The status is upper-cased. Where latitude is blank, both come from easting and northing by
+    the grid that cs_name, or else fallback_crs, names (its name or EPSG number, of geodesy.GRIDS); rows for which that fails
+    keep nulls. The ellipsoidal height is in feet; without one it is the elevation in the grid's unit, as no geoid is at hand."""
     from pyspark.sql import Window
 
-    from plumbline.functions.geodesy import US_FOOT
+    from plumbline.functions.geodesy import GRIDS, US_FOOT, from_grid
     from plumbline.operators.keyed import ordinal_names
 
-    raw = spark.read.option("header", True).option("multiLine", True).csv(path)
-    at = resolve_headers([h.lstrip("﻿") for h in raw.columns])
-    raw = raw.toDF(*[h.lstrip("﻿") for h in raw.columns]).withColumn("seq", F.monotonically_increasing_id())
-    col = lambda k: F.col(f"`{at[k]}`") if at[k] else F.lit(None).cast("string")
-    df = raw.select("seq", *[(F.trim(col(k)) if k in TEXT_COLUMNS else number(col(k))).alias(k) for k in SURVEY_COLUMNS])
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace(F.regexp_replace("value", "^﻿", ""), r',"(\r?\n)', ",$1").alias("value"))
+    # Records end at line ends outside quotes.
+    records = text.select("file", F.posexplode(F.split("value", r'\r?\n(?=(?:[^"]*"[^"]*")*[^"]*$)')).alias("seq", "line")).where(F.col("line") != "")
+    top = records.orderBy("file", "seq").first()
+    headers = [h.strip() for h in next(csv.reader([top["line"]]))] if top else []
+    at = resolve_headers(headers)
+    place = {h: i for i, h in reversed(list(enumerate(headers)))}
+    first = records.groupBy("file").agg(F.min("seq").alias("first"))
+    rows = records.join(first, "file").where(F.col("seq") > F.col("first"))
+    rows = rows.select("file", "seq", F.from_csv("line", ", ".join(f"c{i} string" for i in range(len(headers))) or "c0 string", {"escape": '"', "lineSep": "\u0001"}).alias("r"))
+    col = lambda k: F.col(f"r.c{place[at[k]]}") if at[k] else F.lit(None).cast("string")
+    real = lambda k: F.trim(col(k)).try_cast("double")
+    df = rows.select("file", "seq", *[(F.coalesce(F.trim(col(k)), F.lit("")) if k in TEXT_COLUMNS else real(k)).alias(k) for k in SURVEY_COLUMNS], *[(F.coalesce(col(k), F.lit("")) != "").alias(f"has_{k}") for k in ("lat", "lon")])
     for k in ("easting", "northing", "elevation", "ellip_alt"):
         if at[k]:
             df = df.where(F.col(k).isNotNull())
-    kept = F.row_number().over(Window.orderBy("seq")) - 1  # one survey's rows
-    df = df.withColumn("label", F.when(F.coalesce("label", F.lit("")) == "", F.concat(F.lit("gcp_"), kept.cast("string"))).otherwise(F.col("label")))
-    df = df.withColumn("ellip_alt_m", F.coalesce(F.col("ellip_alt") * US_FOOT, F.col("elevation") * US_FOOT)).drop("ellip_alt")
+    df = df.where("(lat is not null or not has_lat) and (lon is not null or not has_lon)").drop("has_lat", "has_lon")
+    if not df.limit(1).count():
+        raise ValueError(f"no valid survey rows; headers: {headers}")
+    df = df.withColumn("seq", F.row_number().over(Window.orderBy("file", "seq")) - 1).drop("file")  # one survey's rows
+    df = df.withColumn("label", F.when(F.col("label") == "", F.concat(F.lit("gcp_"), F.col("seq").cast("string"))).otherwise(F.col("label")))
+    df = df.withColumn("solution_status", F.upper("solution_status"))
+    is_grid = lambda text, g: (F.lower(text) == g.name.lower()) | text.rlike(rf"(?i)^\s*(epsg:)?{g.epsg}\s*$")
+    own, sure = F.when(F.col("cs_name") != "", F.col("cs_name")).otherwise(F.lit(fallback_crs or "")), F.lit(False)
+    for g in GRIDS.values():
+        sure = sure | is_grid(own, g)
+    lat, lon, unit = F.lit(None).cast("double"), F.lit(None).cast("double"), F.lit(1.0)
+    for g in GRIDS.values():
+        here = is_grid(own, g) | (~sure & is_grid(F.lit(fallback_crs or ""), g))
+        la, lo = from_grid(F.col("easting"), F.col("northing"), g)
+        lat, lon, unit = F.when(here, la).otherwise(lat), F.when(here, lo).otherwise(lon), F.when(here, F.lit(g.unit)).otherwise(unit)
+    df = df.withColumns({"lat": F.coalesce("lat", lat), "lon": F.when(F.col("lat").isNull(), lon).otherwise(F.col("lon")), "ellip_alt_m": F.coalesce(F.col("ellip_alt") * US_FOOT, F.col("elevation") * unit)}).drop("ellip_alt")
     return ordinal_names(df, "label", ["seq"])
 
 
@@ -138,9 +165,13 @@ def landxml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def mark_log(spark: SparkSession, path: str) -> DataFrame:
-    """Mark and removal blocks of a history file, as replay() takes them."""
-    text = spark.read.text(path, wholetext=True)
-    ops = text.select(F.posexplode(F.regexp_extract_all("value", F.lit(r"(?:MarkTiePoint|RemoveTiePoints)\s*\{(?:[^{}]|\{[^{}]*\})*\}"), F.lit(0))).alias("seq", "b"))
+    """Mark and removal blocks of history files, as replay() takes them: seq goes on from file to file, by name."""
+    from pyspark.sql import Window
+
+    text = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    ops = text.select("file", F.posexplode(F.regexp_extract_all("value", F.lit(r"(?:MarkTiePoint|RemoveTiePoints)\s*\{(?:[^{}]|\{[^{}]*\})*\}"), F.lit(0))).alias("seq", "b"))
+    before = ops.groupBy("file").agg(F.count("*").alias("n")).select("file", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))  # a row for each file
+    ops = ops.join(before, "file").select((F.col("seq") + F.col("before")).alias("seq"), "b")
     px = F.split(F.regexp_extract("b", r"pixelPosition\s*:\s*\[([^\]]*)\]", 1), ",")
     got = ops.select("seq", F.regexp_extract("b", r"^(\w+)", 1).alias("op"), F.nullif(file_name(F.regexp_extract("b", r"imagePath\s*:\s*\"([^\"]*)\"", 1)), F.lit("")).alias("image"), F.nullif(F.regexp_extract("b", r"\bname\s*:\s*'([^']*)'", 1), F.lit("")).alias("label"), F.try_element_at(px, F.lit(1)).try_cast("double").alias("px"), F.try_element_at(px, F.lit(2)).try_cast("double").alias("py"), F.regexp_extract_all(F.regexp_extract("b", r"names\s*:\s*\[([^\]]*)\]", 1), F.lit(r"'([^']*)'"), F.lit(1)).alias("names"))
     return got.where("(op = 'MarkTiePoint' and image is not null and label is not null and px is not null and py is not null) or (op = 'RemoveTiePoints' and size(names) > 0)")
