@@ -359,12 +359,59 @@ def test_streams_equal_batches(spark, events):
     log = lambda e: e.select(F.col("event_id").alias("seq"), F.when(F.col("event_type") == "error", "RemoveTiePoints").otherwise("MarkTiePoint").alias("op"), F.col("user_id").cast("string").alias("image"), (F.col("event_id") % 40).cast("string").alias("label"), F.col("value").alias("px"), F.lit(0.0).alias("py"))
     live = _drain(T.live_marks(log(T.event_stream(spark, folder, df.schema))), "live", "update")
     want = {(r.image, r.label, r.seq) for r in Y.replay(log(df).withColumn("names", F.array("label"))).collect()}
-    assert {(r.image, r.label, r.seq) for r in live.collect()} == want
+    state = {}
+    for r in live.collect():  # one batch: each row is a state
+        state[r.image, r.label] = r
+    assert {(r.image, r.label, r.seq) for r in state.values() if not r.removed} == want
     probes = lambda e: e.select(F.col("user_id").cast("string").alias("host"), F.col("event_id").alias("seq"), (F.col("value") >= 40).alias("busy"))
     runs = {(r.host, r.seq, r.run) for r in _drain(T.watchdog(probes(T.event_stream(spark, folder, df.schema)), 3), "dog", "append").collect()}
     assert runs == {(r.host, r.seq, r.run) for r in A.idle_runs(probes(df), ["host"], "seq", ~F.col("busy"), 3).collect()}
 
 
+def _batches(spark, rows, schema, use, folder, name, mode):
+    """The rows that a stream emits, a file for each of its batches."""
+    out = []
+    q = use(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)).writeStream.outputMode(mode).foreachBatch(lambda df, i: out.append([tuple(r) for r in df.collect()])).start()
+    for part in rows:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+        q.processAllAvailable()
+    q.stop()
+    return [r for b in out for r in b]
+
+
+def test_live_marks_removals_and_late_rows(spark, tmp_path):
+    schema = "seq long, op string, image string, label string, px double, py double, names array<string>"
+    mark = lambda s, i, l, x: (s, "MarkTiePoint", i, l, x, 0.0, [])
+    rows = [[mark(1, "i", "A", 1.0), mark(5, "j", "A", 5.0), mark(2, "i", "B", 2.0)], [mark(3, "j", "A", 3.0), (4, "RemoveTiePoints", None, None, None, None, ["A", "B"])], [mark(2, "k", "B", 9.0), mark(6, "i", "B", 6.0)]]
+    (tmp_path / "log").mkdir()
+    got = _batches(spark, rows, schema, T.live_marks, str(tmp_path / "log"), "marks", "update")
+    state = {}
+    for label, image, px, _, seq, removed in got:
+        state[label, image] = None if removed else (px, seq)
+    assert state == {("A", "i"): None, ("A", "j"): (5.0, 5), ("B", "i"): (6.0, 6)}
+
+
+def test_phase_changes_on_a_stream(spark, tmp_path):
+    schema = "project string, seq long, phase string"
+    rows = [[("p", 2, "b"), ("p", 1, "a"), ("q", 1, "a")], [("p", 3, "b"), ("q", 2, "a")], [("p", 4, "a"), ("q", 3, "c"), ("q", 1, "z")]]
+    (tmp_path / "ph").mkdir()
+    got = _batches(spark, rows, schema, T.phase_changes, str(tmp_path / "ph"), "phases", "append")
+    assert sorted(got) == [("p", 1, "a"), ("p", 2, "b"), ("p", 4, "a"), ("q", 1, "a"), ("q", 3, "c")]
+
+
+def test_gauges_keep_what_a_batch_lacks(spark, tmp_path):
+    path, at = str(tmp_path / "g"), lambda s: __import__("datetime").datetime(2024, 1, 1, 0, 0, s)
+    put = lambda i, rows: T.upsert_gauges(spark.createDataFrame(rows, "metric string, value double, ts timestamp"), i, path)
+    now = lambda: {r.metric: r.value for r in T.gauges(spark, path).collect()}
+    assert now() == {}
+    put(0, [("a", 1.0, at(1)), ("b", 2.0, at(5))])
+    put(1, [("a", 3.0, at(2)), ("b", 9.0, at(4))])
+    assert now() == {"a": 3.0, "b": 2.0}
+    put(1, [("a", 3.0, at(2))])  # runs again
+    put(2, [("c", 4.0, at(1))])
+    assert now() == {"a": 3.0, "b": 2.0, "c": 4.0}
+
+
 def test_names_claim_no_unwritten_operator():
     from plumbline.plans.queries import QUERIES
 
