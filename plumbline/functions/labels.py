@@ -41,8 +41,8 @@ def epsg_number(crs: Column) -> Column:
 
 
 def fixed(value: Column, decimals: int) -> Column:
-    """Text with so many decimals; null stays null."""
-    return F.when(value.isNotNull(), F.format_string(f"%.{decimals}f", value))
+    """Text with so many decimals, halves to even; null stays null."""
+    return F.when(value.isNotNull(), F.format_string(f"%.{decimals}f", F.bround(value, decimals)))
 
 
 def trimmed(value: Column, decimals: int) -> Column:

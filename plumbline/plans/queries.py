@@ -147,15 +147,6 @@ def role_disagreement(spark, d):
     return K.role_disagreement(t, report).select("tid", "role", "disagrees")
 
 
-@query("p19_survey_checks", """
-select tid, concat_ws(', ', case when solution_status <> 'FIX' then 'status ' || solution_status end, case when tid % 9 < 5 then 'samples ' || (tid % 9) end, case when cast(tid % 11 as double) / 2 > 4 then 'pdop' end) as notes from fx_t
-where solution_status <> 'FIX' or tid % 9 < 5 or cast(tid % 11 as double) / 2 > 4""", "t")
-def survey_checks(spark, d):
-    t = view(spark, d, "t").withColumn("samples", F.col("tid") % 9).withColumn("pdop", (F.col("tid") % 11).cast("double") / 2)
-    notes = F.concat_ws(", ", F.when(F.col("solution_status") != "FIX", F.concat(F.lit("status "), "solution_status")), F.when(F.col("samples") < 5, F.concat(F.lit("samples "), F.col("samples").cast("string"))), F.when(F.col("pdop") > 4, "pdop"))
-    return t.select("tid", notes.alias("notes")).where("notes <> ''")
-
-
 # ------------------------------------------------------------------ joins
 
 
@@ -442,11 +433,6 @@ def affine(spark, d):
     return view(spark, d, "t").select("tid", F.round(M.scale_about(x, 1000.0, 1.0003, 12.5), 4).alias("x"), F.round(M.map_to_pixel(x, F.lit(0.0), [100, 0.5, 0, 0, 0, -0.5])[0], 4).alias("col"))
 
 
-@query("a27_findings", "select tid, list_sort(list(distinct src)) as findings, count(*) as n from fx_e group by 1", "e")
-def findings(spark, d):
-    return view(spark, d, "e").groupBy("tid").agg(F.sort_array(F.collect_set("src")).alias("findings"), F.count("*").alias("n"))
-
-
 # ------------------------------------------------------------------ windows, order
 
 
@@ -671,3 +657,6 @@ def phases(spark, d):
 def running_cost(spark, d):
     w = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0)
     return table(spark, d, "events").select("event_id", "user_id", F.round(F.sum("value").over(w) * 1.008 / 3600, 6).alias("cost"))
+
+
+from plumbline.plans import report_queries  # noqa: E402, F401 (registers its queries here)

@@ -177,6 +177,20 @@ def mark_log(spark: SparkSession, path: str) -> DataFrame:
     return got.where("(op = 'MarkTiePoint' and image is not null and label is not null and px is not null and py is not null) or (op = 'RemoveTiePoints' and size(names) > 0)")
 
 
+def dc_header(spark: SparkSession, path: str) -> DataFrame:
+    """Of each .dc file (file) the grid of its first C8NM record with a known zone (crs, null without one) and the job's name
+    of its first 10NM record that has one, without a last number, else the file's stem; blanks as underscores."""
+    from plumbline.functions.geodesy import fips_epsg
+    from plumbline.functions.labels import file_stem
+
+    rows = lines(spark, path)
+    epsg = F.when(F.col("line").startswith("C8NM"), fips_epsg(F.col("line")))
+    name = F.when(F.col("line").startswith("10NM"), F.nullif(F.trim(F.regexp_replace(F.trim(F.substr("line", F.lit(5))), r"\s+\d+\s*$", "")), F.lit("")))
+    first = lambda v: F.min_by(v, F.when(v.isNotNull(), F.col("seq")))
+    got = rows.groupBy("file").agg(first(epsg).alias("epsg"), first(name).alias("name"))
+    return got.select("file", F.concat(F.lit("EPSG:"), F.col("epsg").cast("string")).alias("crs"), F.replace(F.coalesce("name", file_stem(F.col("file"))), F.lit(" "), F.lit("_")).alias("job"))
+
+
 # Header names of mark tables, either convention.
 MARK_ALIASES = {"image": {"filename", "image_name", "image"}, "label": {"label", "gcp_label", "name"}, "px": {"pixelx", "px", "x"}, "py": {"pixely", "py", "y"}}
 
@@ -304,6 +318,28 @@ def write_lines(rows: DataFrame, path: str) -> None:
     rows.coalesce(1).sortWithinPartitions("seq").select("line").write.mode("overwrite").text(path)
 
 
+def write_tagging(rows: DataFrame, crs: str, path: str) -> None:
+    """The lines of tagging_rows() under a header, or an empty file if there are none."""
+    head = rows.limit(1).select(F.lit(0).alias("rank"), F.lit(crs).alias("line"))
+    write_lines(head.unionByName(rows.select("rank", "line")).withColumnRenamed("rank", "seq"), path)
+
+
+def metric_summary(metrics: DataFrame, keys: list[str]) -> DataFrame:
+    """N, min, p50, p95, max and mean of value (ts, value) by keys, to 3 places; p50 and p95 as the reference takes them,
+    sorted[int(share * (n - 1))], and NaN values left out."""
+    from plumbline.operators.stats import index_percentile
+
+    v = F.col("value")
+    one = metrics.where(v.isNotNull() & ~F.isnan(v)).groupBy(*keys).agg(F.count("*").alias("n"), F.min(v).alias("min"), index_percentile(v, 0.5).alias("p50"), index_percentile(v, 0.95).alias("p95"), F.max(v).alias("max"), F.avg(v).alias("mean"))
+    return one.select(*keys, "n", *[F.bround(c, 3).alias(c) for c in ("min", "p50", "p95", "max", "mean")])
+
+
+def write_metric_export(metrics: DataFrame, path: str) -> None:
+    """The values by job and metric as JSON, and a summary row for each. metrics: job, metric, ts, value."""
+    metrics.repartition("job", "metric").write.mode("overwrite").partitionBy("job", "metric").json(f"{path}/raw")
+    metric_summary(metrics, ["job", "metric"]).coalesce(1).write.mode("overwrite").json(f"{path}/summary")
+
+
 def write_marks(marks: DataFrame, path: str) -> None:
     marks.orderBy("label", "image").coalesce(1).select(F.col("image").alias("Filename"), F.col("label").alias("Label"), F.col("px").alias("PixelX"), F.col("py").alias("PixelY")).write.mode("overwrite").option("header", True).csv(path)
 

@@ -22,6 +22,16 @@ def windowed(events: DataFrame, length: str, slide: str | None = None, late: str
     return out.select(F.col("window.start").alias("w_start"), F.col("window.end").alias("w_end"), "event_type", "n", "total", "mean", "low", "high")
 
 
+def sliding_rate(events: DataFrame, keys: list[str], value: str, order: str, length: str, slide: str, late: str = "10 minutes") -> DataFrame:
+    """A counter's rise per second within each sliding window, falls counting as resets. A window's values of one key
+    are put in order in one row, as many as it has."""
+    w = F.window("ts", length, slide)
+    g = events.withWatermark("ts", late).groupBy(w, *keys).agg(F.sort_array(F.collect_list(F.struct("ts", F.col(order).alias("o"), F.col(value).cast("double").alias("v")))).alias("l"))
+    rise = F.aggregate("l", F.struct(F.lit(None).cast("double").alias("last"), F.lit(0.0).alias("sum")), lambda a, x: F.struct(x["v"].alias("last"), (a["sum"] + F.when(a["last"].isNull(), 0.0).when(x["v"] < a["last"], x["v"]).otherwise(x["v"] - a["last"])).alias("sum")))["sum"]
+    seconds = F.unix_timestamp("window.end") - F.unix_timestamp("window.start")
+    return g.select(*keys, F.col("window.start").alias("w_start"), F.col("window.end").alias("w_end"), (rise / seconds).alias("rate"))
+
+
 def sessions(events: DataFrame, gap: str, late: str = "10 minutes") -> DataFrame:
     g = events.withWatermark("ts", late).groupBy(F.session_window("ts", gap), "user_id")
     return g.agg(F.count("*").alias("n")).select("user_id", F.col("session_window.start").alias("s_start"), F.col("session_window.end").alias("s_end"), "n")
