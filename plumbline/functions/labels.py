@@ -41,8 +41,19 @@ def epsg_number(crs: Column) -> Column:
 
 
 def fixed(value: Column, decimals: int) -> Column:
-    """Text with so many decimals, halves to even; null stays null."""
-    return F.when(value.isNotNull(), F.format_string(f"%.{decimals}f", F.bround(value, decimals)))
+    """Text with so many decimals of a double's exact value, halves to even; null stays null.
+
+    format_string() rounds the shortest decimal form, half up. Where that form is a half, the exact product with
+    2 * 10 ** decimals, as a double and its error (by Veltkamp's split), says on which side the value lies."""
+    value, two = value.cast("double"), float(2 * 10**decimals)
+    p, wide = value * two, value * 134217729.0
+    high = wide - (wide - value)
+    near = F.rint(p)
+    rest = (p - near) + ((high * two - p) + (value - high) * two)
+    low = F.floor(near / 2)
+    up = (rest > 0) | ((rest == 0) & (F.pmod(low, F.lit(2)) == 1))
+    half = (F.abs(rest) <= F.abs(p) * 1e-15) & (F.pmod(near, F.lit(2.0)) == 1)
+    return F.when(value.isNotNull(), F.format_string(f"%.{decimals}f", F.when(half, (low + up.cast("int")) / F.lit(float(10**decimals))).otherwise(value)))
 
 
 def trimmed(value: Column, decimals: int) -> Column:

@@ -300,6 +300,18 @@ def test_dc_headers_and_tagging_files(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "k/summary")).first().n == 2 and spark.read.json(str(tmp_path / "k/raw")).count() == 3
 
 
+def test_fixed_is_exact(spark):
+    from plumbline.functions import labels as L
+
+    r = np.random.default_rng(12)
+    for places in (0, 2, 3):
+        half = (r.integers(-(10**6), 10**6, 400) * 2 + 1) / (2 * 10.0**places)
+        values = [*map(float, half), *map(float, r.normal(size=200) * 1000), 0.0, 1e15, -0.5, 1.005, 1.015, 0.3125, 0.1125]
+        got = spark.createDataFrame([(v,) for v in values], "v double").select("v", L.fixed(F.col("v"), places).alias("t")).collect()
+        assert [r.t.replace("-0", "0") for r in got if float(r.t) == 0] == [f"{0:.{places}f}"] * sum(float(r.t) == 0 for r in got)
+        assert all(r.t == f"{r.v:.{places}f}" for r in got if float(r.t) != 0)
+
+
 def test_severity_tool_and_monument_words(spark):
     from plumbline.functions import labels as L
     from plumbline.operators import keyed as K
