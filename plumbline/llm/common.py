@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,13 +35,31 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/plumbline-{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of df as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
+_scopes: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch():
+    """Deletes the tables that written() makes within, but for kept ones: what comes out of the block must be written with
+    keep=True, or collected, before its end."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for df in _scopes.pop():
+            discard(df)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """The rows of df as a Parquet table in the shared folder: cuts lineage, survives lost executors. The table stays until
+    discard(), or the end of the scratch() block around it unless keep is true."""
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._plumbline_path = path
+    if _scopes and not keep:
+        _scopes[-1].append(out)
     return out
 
 

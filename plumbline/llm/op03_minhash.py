@@ -192,7 +192,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     last = written(_confirmed(_merged(now.join(parts, "token"), node, percent, matches), sets, percent), "links")
     if last.limit(1).count():
         comps = written(connected_components(links.unionByName(last)), "comps")
-    for x in (sets, post, members):
+    for x in (sets, post, members, links, last):
         discard(x)
     ids = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("key", "id", F.coalesce("component", "rep").alias("component"))
     least = ids.groupBy("component").agg(F.min("id").alias("least"))

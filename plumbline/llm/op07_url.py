@@ -14,7 +14,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import maybe_broadcast, written
+from plumbline.llm.common import discard, maybe_broadcast, written
 
 #: (action, host/path). A rule fits its host and all subdomains, if the path starts with its path; the longest wins.
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
@@ -166,6 +166,8 @@ def grow(table: DataFrame, trees: int = TREES, depth: int = DEPTH, rate: float =
             return F.when(F.col(f) > cuts[f][b], tree(2 * m + 1)).otherwise(tree(2 * m)) if b < len(cuts[f]) else tree(2 * m)
 
         total = total + tree(1)
+        discard(now)
+    discard(binned)
     return total
 
 

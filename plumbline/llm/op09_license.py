@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import let, written
+from plumbline.llm.common import discard, let, written
 
 # Short public licence notices, by family.
 TEMPLATES = {
@@ -142,6 +142,7 @@ def train_scanner(docs: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS) -
         bias -= STEP * 0.25 * gb / np.sqrt(seen_b)
     best = F.array_max(F.slice(_probabilities(weights, bias), 1, k - 1))
     level = data.where("held").agg(F.percentile(best, 0.999)).first()[0]
+    discard(data)
     return Model(vocabulary, weights, bias, min(0.95, max(0.5, level or 0.5)))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import maybe_broadcast, written
+from plumbline.llm.common import discard, maybe_broadcast, written
 
 LIMIT = 1 << 20
 MAX_DEPTH = 48
@@ -30,15 +30,21 @@ def key_bits(key: Column) -> Column:
 def directory(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
     """Buckets (depth, prefix, bytes, n) for rows (bits, bytes): prefix is the first `depth` of 48 bits as a number.
     A bucket exists if it has rows and every shorter prefix of it was over the limit."""
-    rows = written(rows.groupBy("bits").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n")), "bits")
+    made: list[DataFrame] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        made.append(written(df, name))
+        return made[-1]
+
+    rows = keep(rows.groupBy("bits").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n")), "bits")
     out, open_, done = None, rows, 0
     while True:
         deep = min(done + STEP_BITS, MAX_DEPTH)
         leaf = open_.groupBy(F.shiftright("bits", MAX_DEPTH - deep).alias("p")).agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
-        leaf = written(leaf, "prefixes")
+        leaf = keep(leaf, "prefixes")
         levels = leaf.select(F.explode(F.sequence(F.lit(done if done == 0 else done + 1), F.lit(deep))).alias("depth"), "p", "bytes", "n")
         sums = levels.groupBy("depth", F.expr(f"shiftright(p, {deep} - depth)").alias("prefix")).agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
-        sums = written(sums, "levels")
+        sums = keep(sums, "levels")
         parent = sums.where(F.col("bytes") > limit).select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("up"))
         here = sums.where((F.col("bytes") <= limit) | (F.col("depth") == MAX_DEPTH))
         first = here.where(F.col("depth") == (0 if done == 0 else done + 1))
@@ -48,7 +54,10 @@ def directory(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
         out = part if out is None else out.unionByName(part)
         over = sums.where((F.col("depth") == deep) & (F.col("bytes") > limit)).select(F.col("prefix").alias("p"))
         if deep == MAX_DEPTH or not over.limit(1).count():
-            return written(out, "directory")
+            out = written(out, "directory")
+            for x in made:
+                discard(x)
+            return out
         open_ = open_.withColumn("p", F.shiftright("bits", MAX_DEPTH - deep)).join(over, "p", "left_semi").drop("p")
         done = deep
 
