@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import key_crc, written
+from plumbline.llm.common import discard, key_crc, scratch, written
 from plumbline.llm.op01_mixing import TARGETS, labelled_domains, mix
 from plumbline.llm.op02_quality import fit_quality, quality_scores
 from plumbline.llm.op03_minhash import near_duplicates
@@ -25,7 +25,8 @@ def _kept(named: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't reject."""
+    """Documents that the classifier doesn't reject, of any id, repeated rows included; null and empty texts are judged as an
+    empty text. It learns from labelled ids only. All columns stay as they are; no documents: none."""
     state = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), F.coalesce(key_crc(F.col("doc_id"), 5) != 0, F.lit(False)))
     return quality_scores(docs, state).where("predicted = 1").select(*docs.columns)
 
@@ -45,12 +46,14 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rates say, so that the languages' tokens meet TARGETS."""
+    """Documents as often as their rates say, so that the languages' tokens meet TARGETS. A text without tokens has the
+    prior's rate; rows with null or repeated ids go by id and text; columns of any name stay. No documents: none."""
     return mix(docs, labelled_domains(docs), TARGETS)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their shard."""
+    """Documents with shard, shard_depth, shard_page and text_bytes; null ids share a key, whose rows go to pages, and null
+    texts weigh nothing. All rows and other columns stay; no documents: none."""
     return shard(docs)
 
 
@@ -59,8 +62,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents, each one's rows written to the shared folder before the next reads them."""
+    """The stages over documents, each one's rows written to the shared folder before the next reads them; what a stage wrote
+    for itself, and the rows before it, are deleted then."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with scratch():
+            out = written(stage(spark, docs, sf_dir), name, keep=True)
+        discard(docs)  # the stage before; nothing for the input, which written() didn't make
+        docs = out
     return docs
