@@ -69,7 +69,7 @@ class Net:
         np.maximum(z, 0, out=z)
         return win, z.reshape(len(halves), PER_HALF, FILTERS)
 
-    def pooled(self, halves: np.ndarray, block: int = 4096) -> np.ndarray:
+    def pooled(self, halves: np.ndarray, block: int = 1024) -> np.ndarray:
         """Mean and maximum of the filters in each half chunk, in blocks."""
         out = np.empty((len(halves), 2 * FILTERS), np.float32)
         for i in range(0, len(halves), block):
@@ -87,7 +87,7 @@ class Net:
         d = np.hstack([np.maximum.reduceat(h, first), np.add.reduceat(h, first) / n[:, None]])
         return 1 / (1 + np.exp(-np.clip(d @ self.u + self.o, -30, 30).astype(np.float64)))
 
-    def gradients(self, halves: np.ndarray, at: np.ndarray, y: np.ndarray, block: int = 2048):
+    def gradients(self, halves: np.ndarray, at: np.ndarray, y: np.ndarray, block: int = 1024):
         """Gradients of the loss over whole texts. Filters' answers are kept for one block of half chunks at a time and
         made again on the way back, so a long text costs time, not memory."""
         p = self.pooled(halves, block)

@@ -92,7 +92,7 @@ def _sets(batches):
             reps.append(rep)
             sets.append(shingle_set(raw[s:e]))
             size += len(sets[-1])
-            if size > 1 << 21:
+            if size > 1 << 18:
                 yield out(reps, sets)
                 reps, sets, size = [], [], 0
         if reps:
