@@ -600,9 +600,15 @@ select iid, tid, round(px, 4) as px, round(py, 4) as py from p where z > 0 and p
 
 @query("j01_f18_p14_footprint_projection", PROJ.replace("@FOOT@", f"{FOOT} <= {RADIUS}"), "ti")
 def footprint_projection(spark, d):
-    x = _in_footprint(view(spark, d, "t").select("tid", "lat", "lon", "ellip_alt_m"), view(spark, d, "i").drop("image"))
+    images = view(spark, d, "i").drop("image")
+    axes = C.exif_axes({c: F.col(c) for c in images.columns})  # once for each camera, not for each pair
+    x = _in_footprint(view(spark, d, "t").select("tid", "lat", "lon", "ellip_alt_m"), images.withColumns(axes))
+    e, n = G.flat_offset(F.col("c_lat"), F.col("c_lon"), F.col("p_lat"), F.col("p_lon"))
+    x = x.withColumns({"e": e, "n": n, "u": F.col("p_ellip_alt_m") - F.col("c_abs_alt")})
+    along = lambda a: F.col(f"c_{a}e") * F.col("e") + F.col(f"c_{a}n") * F.col("n") + (F.col(f"c_{a}u") * F.col("u") if a != "x" else F.lit(0.0))
+    x = x.withColumns({a: along(a) for a in "xyz"})
     cam = {c[2:]: F.col(c) for c in x.columns if c.startswith("c_")}
-    px, py = C.project_exif(cam, F.col("p_lat"), F.col("p_lon"), F.col("p_ellip_alt_m"))
+    px, py = C.on_sensor(cam, F.col("x"), F.col("y"), F.col("z"))
     return x.select(F.col("c_iid").alias("iid"), F.col("p_tid").alias("tid"), F.round(px, 4).alias("px"), F.round(py, 4).alias("py")).where("px is not null")
 
 
