@@ -3,12 +3,13 @@
 A text's UTF-8 bytes are embedded, learned filters slide over all of them (width WIDTH, step STEP), their rectified
 answers are averaged and max-pooled in half chunks of CHUNK / 2 bytes; each chunk joins two neighbouring halves, so
 chunks overlap by half and cover the whole text. A learned layer describes each chunk, its answers are max-pooled and
-averaged over all chunks, and combined into one probability. Training (Adam, on the driver) uses a bounded sample of
+averaged over all chunks, and combined into one probability. Training (Adam, in one task) uses a bounded sample of
 labelled texts; scoring is one pass over all texts in Arrow batches, in blocks of bounded memory.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -205,11 +206,21 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn_from, max_train: int =
     for p in parts[1:]:
         chosen = chosen.unionByName(p)
     got = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
-    rows = got.groupBy("doc_id").agg(F.first("y").alias("y"), F.max("text").alias("text")).orderBy("doc_id").toPandas()
-    y = rows["y"].to_numpy(np.float64)
-    state = train([t.encode() for t in rows["text"]], y)
-    if len(counts) == 2 and 0 < y.sum() < len(y):
-        state[-1] = (state[-1] + np.log(counts[1] / counts[0]) - np.log(y.sum() / (len(y) - y.sum()))).astype(np.float32)
+    rows = got.groupBy("doc_id").agg(F.first("y").alias("y"), F.max("text").alias("text")).repartition(1).sortWithinPartitions("doc_id")
+
+    def fit(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        texts, y = [], []
+        for p in parts:
+            texts += [t.encode() for t in p["text"]]
+            y += p["y"].tolist()
+        yield pd.DataFrame({"state": [pickle.dumps(train(texts, np.array(y, np.float64)))], "good": [sum(y)], "n": [len(y)]})
+
+    got = rows.mapInPandas(fit, "state binary, good long, n long").first()  # in a task: no text comes to the driver
+    if got is None:
+        return train([], np.zeros(0))
+    state, good, n = pickle.loads(got["state"]), got["good"], got["n"]
+    if len(counts) == 2 and 0 < good < n:
+        state[-1] = (state[-1] + np.log(counts[1] / counts[0]) - np.log(good / (n - good))).astype(np.float32)
     return state
 
 

@@ -419,3 +419,23 @@ def test_pipeline_judges_null_and_repeated_ids(spark, tmp_path):
     got = cp.decontaminate(spark, docs_of(spark, texts), str(tmp_path))
     assert got.columns == docs_of(spark, texts).columns
     assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [x for x in texts if x[1] != bad]))
+
+
+def test_quality_trains_in_a_task(spark, monkeypatch):
+    """The driver never gets the texts: train() runs in another process, on the texts in order of their ids."""
+    import os
+
+    Q, here = op02_quality, os.getpid()
+    texts = [("fine words in a row " if i % 2 else "@@ ## !! 00 ") * (1 + i % 5) for i in range(80)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    want = Q.train([t.encode() for t in texts], np.arange(80) % 2.0)
+    train = Q.train
+
+    def away(*a):
+        assert os.getpid() != here
+        return train(*a)
+
+    monkeypatch.setattr(Q, "train", away)
+    got = Q.fit_quality(docs, labels, F.lit(True))
+    assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(got, want))
