@@ -137,6 +137,19 @@ def test_k_nearest_leaves_no_point_out(spark):
         assert sorted(map(str, ((r.p_id, r.c_id, r["rank"]) for r in got.collect()))) == sorted(map(str, want))
 
 
+def test_k_nearest_in_dense_centres(spark, monkeypatch):
+    """Cells follow the centres' density: candidates stay few, and results are those of a plain loop."""
+    q, s = [rng.random((n, 2)) * 60 for n in (20, 6000)]
+    frames = [spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(v)], "id int, x double, y double") for v in (q, s)]
+    seen, joined = [], type(frames[0]).join
+    monkeypatch.setattr(type(frames[0]), "join", lambda df, o, on=None, how=None: seen.append(joined(df, o, on, how)) or seen[-1])
+    got = S.k_nearest(*frames, 5, 60.0, "id").collect()
+    monkeypatch.undo()
+    dist = np.hypot(*(q[:, None, :] - s[None, :, :]).transpose(2, 0, 1))
+    assert sorted((r.p_id, r.c_id) for r in got) == sorted((i, int(j)) for i, d in enumerate(dist) for j in np.lexsort((np.arange(len(s)), d))[:5])
+    assert seen[1].count() < 20 * 600  # candidates; 900 a place with cells of cell / 8
+
+
 def test_replay_equals_loop(spark):
     log = [(i, "RemoveTiePoints" if rng.random() < 0.1 else "MarkTiePoint", f"i{rng.integers(5)}", f"l{rng.integers(6)}", float(i)) for i in range(300)]
     state = {}
