@@ -181,9 +181,10 @@ def alias_overlap(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def first_seen(df: DataFrame, label: str, seq: str) -> DataFrame:
-    """S01b, S01d: rows with label_order, the place (from 1) of their label by its first row; rows keep seq within it."""
+    """S01b, S01d: rows with label_order, the place (from 1) of their label by its first row, ties by
+    label; rows keep seq within it."""
     first = df.groupBy(label).agg(F.min(seq).alias("_first"))
-    first = first.select(label, F.row_number().over(Window.orderBy("_first")).alias("label_order"))  # one file's labels
+    first = first.select(label, F.row_number().over(Window.orderBy("_first", label)).alias("label_order"))  # one file's labels
     return df.join(first, label)
 
 

@@ -150,6 +150,14 @@ def test_k_nearest_in_dense_centres(spark, monkeypatch):
     assert seen[1].count() < 20 * 600  # candidates; 900 a place with cells of cell / 8
 
 
+def test_first_seen_orders_ties_by_label(spark):
+    from plumbline.operators import reports as P
+
+    for rows in ([(0, "c"), (0, "b"), (1, "a"), (0, "d")], [(0, "d"), (1, "a"), (0, "c"), (0, "b")]):
+        got = P.first_seen(spark.createDataFrame(rows, "seq int, label string").coalesce(1), "label", "seq").collect()
+        assert {r.label: r.label_order for r in got} == {"b": 1, "c": 2, "d": 3, "a": 4}
+
+
 def test_replay_equals_loop(spark):
     log = [(i, "RemoveTiePoints" if rng.random() < 0.1 else "MarkTiePoint", f"i{rng.integers(5)}", f"l{rng.integers(6)}", float(i)) for i in range(300)]
     state = {}
