@@ -158,6 +158,24 @@ def test_first_seen_orders_ties_by_label(spark):
         assert {r.label: r.label_order for r in got} == {"b": 1, "c": 2, "d": 3, "a": 4}
 
 
+def test_within_shuffles_no_centres_where_points_are_few(spark, monkeypatch):
+    p = [(i, float(36.8 + a * 0.01), float(-107.9 + b * 0.01)) for i, (a, b) in enumerate(rng.random((60, 2)))]
+    c = [(i, x[1] + 1e-4, x[2], 250.0) for i, x in enumerate(p[:20])]
+    frames = spark.createDataFrame(p, "id int, lat double, lon double"), spark.createDataFrame(c, "id int, lat double, lon double, radius double")
+    got = []
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most in (100, 59):
+            monkeypatch.setattr(S, "BROADCAST_POINTS", most, raising=False)
+            df = S.within(*frames, "radius", 250.0, 36.8)
+            got.append(sorted((r.c_id, r.p_id) for r in df.collect()))
+            assert ("Exchange hashpartitioning" in df._jdf.queryExecution().executedPlan().toString()) == (most < 60)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got[0] == got[1]
+
+
 def test_replay_equals_loop(spark):
     log = [(i, "RemoveTiePoints" if rng.random() < 0.1 else "MarkTiePoint", f"i{rng.integers(5)}", f"l{rng.integers(6)}", float(i)) for i in range(300)]
     state = {}
