@@ -25,6 +25,8 @@ from plumbline.llm.common import connected_components, maybe_broadcast, roots, w
 TREES, SPILL, LEAF, SAMPLE, BLOCK = 6, 0.01, 400, 20_000, 512
 #: Bytes of the sample that trees are fitted on; vectors looked at for a split within a leaf; splits within a leaf at most.
 SAMPLE_BYTES, LEAF_SAMPLE, MAX_SPLITS = 1 << 26, 512, 20
+#: Bytes of one step's work in a Python worker. Only speed and memory depend on it.
+WORK = 1 << 22
 #: Leaf sizes that are looked up by broadcast.
 MAX_BROADCAST_ROWS = 100_000
 COSINE = 0.98
@@ -126,6 +128,24 @@ def _padded(codes: pd.Series, below: int, blank: int) -> np.ndarray:
     return out
 
 
+def _new(done: np.ndarray, r: np.ndarray, c: np.ndarray):
+    """Those pairs (r, c) that share no code of done (-1: none), in blocks of WORK bytes: a table's vectors have the more leaves
+    the longer it is."""
+    step = max(1, WORK // max(1, done.shape[1]) ** 2)
+    for k in range(0, len(r), step):
+        a, b = r[k : k + step], c[k : k + step]
+        new = ~((done[a][:, :, None] == done[b][:, None, :]) & (done[a] >= 0)[:, :, None]).any(axis=(1, 2))
+        yield a[new], b[new]
+
+
+def _parts(parts, width: int):
+    """Batches cut into pieces of WORK bytes at most, width bytes a row, so that long vectors don't fill a worker's memory."""
+    step = max(1, WORK // width)
+    for p in parts:
+        for i in range(0, len(p), step):
+            yield p.iloc[i : i + step].reset_index(drop=True)
+
+
 def similar_vectors(rows: DataFrame, cosine: float = COSINE, trees: int = TREES, leaf: int = LEAF, sample_rows: int = SAMPLE, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row per row of rows: id_col, n_links, component_id, kept.
 
@@ -172,8 +192,10 @@ def _split_leaves(classes: DataFrame, forest: list[dict], total: int, leaf: int)
     """Adds to the forest the cells of leaves that hold over 4 * leaf vectors. What comes to the driver is a few numbers
     for each leaf of the trees, whose number the sample bounds."""
 
+    width = 8 * forest[0]["more"].shape[1]
+
     def count(parts):
-        for p in parts:
+        for p in _parts(parts, width):
             x = unit(np.array(p["v"].tolist()))
             for t, tree in enumerate(forest):
                 to, n = np.unique(leaves(tree, x, SPILL)[1] >> MAX_SPLITS, return_counts=True)
@@ -186,7 +208,7 @@ def _split_leaves(classes: DataFrame, forest: list[dict], total: int, leaf: int)
     share = max(LEAF_SAMPLE / min(r.n for r in large), 1e-9)
 
     def project(parts):
-        for p in parts:
+        for p in _parts(parts, width):
             x = unit(np.array(p["v"].tolist()))
             for t, tree in enumerate(forest):
                 at, to = leaves(tree, x, SPILL)
@@ -215,7 +237,7 @@ def _found(classes: DataFrame, dims: int, kind: type, cosine: float, trees: int,
     _split_leaves(classes, forest, total, leaf)
 
     def descend(parts):
-        for p in parts:
+        for p in _parts(parts, 8 * dims):
             raw = np.array(p["v"].tolist(), kind)
             x = unit(raw)
             down = [leaves(tree, x, SPILL) for tree in forest]
@@ -256,10 +278,7 @@ def _found(classes: DataFrame, dims: int, kind: type, cosine: float, trees: int,
             r, c = r + s, c + first
             if i == j:
                 r, c = r[r < c], c[r < c]
-            for k in range(0, len(r), 1 << 16):  # those that no earlier leaf has
-                a, b = r[k : k + (1 << 16)], c[k : k + (1 << 16)]
-                new = ~((done[a][:, :, None] == done[b][:, None, :]) & (done[a] >= 0)[:, :, None]).any(axis=(1, 2))
-                a, b = a[new], b[new]
+            for a, b in _new(done, r, c):
                 np.add.at(others, a, size[b])
                 np.add.at(others, b, size[a])
                 top = roots(a, b, len(p))

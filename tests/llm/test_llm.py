@@ -439,3 +439,25 @@ def test_quality_trains_in_a_task(spark, monkeypatch):
     monkeypatch.setattr(Q, "train", away)
     got = Q.fit_quality(docs, labels, F.lit(True))
     assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(got, want))
+
+
+def test_pairs_of_vectors_with_many_leaves_take_bounded_memory():
+    """400 codes a vector: pairs are looked at in small blocks, and batches of long vectors are cut."""
+    import tracemalloc
+
+    import pandas as pd
+
+    r = np.random.default_rng(1)
+    done = r.integers(0, 200_000, (64, 400))
+    done[5, 7], done[9, 100:] = done[6, 8], -1
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(64), np.arange(64)))
+    a, b = a[a < b], b[a < b]
+    tracemalloc.start()
+    got = [x for p in op05_forest._new(done, a, b) for x in zip(*map(np.ndarray.tolist, p))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    codes = [set(d[d >= 0].tolist()) for d in done]
+    assert got == [(i, j) for i, j in zip(a.tolist(), b.tolist()) if not codes[i] & codes[j]] and (5, 6) not in got
+    assert peak < 60e6  # all pairs at once: 320 MB and more
+    cut = list(op05_forest._parts([pd.DataFrame({"v": range(3000)})], 8 * 768))
+    assert max(map(len, cut)) <= (1 << 22) // (8 * 768) and pd.concat(cut)["v"].tolist() == list(range(3000))
