@@ -214,7 +214,8 @@ def _split_leaves(classes: DataFrame, forest: list[dict], total: int, leaf: int)
                 at, to = leaves(tree, x, SPILL)
                 to >>= MAX_SPLITS
                 own = np.array([(t, k) in splits for k in to.tolist()], bool)
-                yield pd.DataFrame({"tree": np.full(int(own.sum()), t, np.int32), "leaf": to[own], "p": list(x[at[own]] @ tree["more"].T)})
+                if own.any():  # Arrow takes no list column without rows
+                    yield pd.DataFrame({"tree": np.full(int(own.sum()), t, np.int32), "leaf": to[own], "p": list(x[at[own]] @ tree["more"].T)})
 
     def cuts(p: pd.DataFrame) -> pd.DataFrame:
         t, k = int(p["tree"].iloc[0]), int(p["leaf"].iloc[0])

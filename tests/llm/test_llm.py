@@ -441,6 +441,25 @@ def test_quality_trains_in_a_task(spark, monkeypatch):
     assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(got, want))
 
 
+def test_op5_batches_without_a_row_in_a_large_leaf(spark, monkeypatch):
+    """One leaf is split on; batches hold a row each, most of another leaf."""
+    r = np.random.default_rng(3)
+    x = np.concatenate([r.normal(size=(200, 8)), np.eye(8)[0] + r.normal(size=(200, 8)) * 0.05])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = spark.createDataFrame([(v.tolist(),) for v in x], "v array<double>").selectExpr("v", "uuid() as key")
+    forest = op05_forest.fit_forest(x[:100], 100, 2, 8)
+    large = {(t, k >> op05_forest.MAX_SPLITS) for t, tree in enumerate(forest) for k, n in zip(*np.unique(op05_forest.leaves(tree, x, op05_forest.SPILL)[1], return_counts=True)) if n > 64}
+    assert large and any((t, k >> op05_forest.MAX_SPLITS) not in large for t, tree in enumerate(forest) for k in op05_forest.leaves(tree, x, op05_forest.SPILL)[1])
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "1")
+    try:
+        op05_forest._split_leaves(rows, forest, len(x), 16)
+    finally:
+        spark.conf.set(conf, before)
+    assert {(t, k) for t, tree in enumerate(forest) for k in tree["cells"]} == large
+
+
 def test_pairs_of_vectors_with_many_leaves_take_bounded_memory():
     """400 codes a vector: pairs are looked at in small blocks, and batches of long vectors are cut."""
     import tracemalloc
