@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import discard, key_crc, scratch, written
+from plumbline.llm.common import dealt, discard, key_crc, scratch, written
 from plumbline.llm.op01_mixing import TARGETS, labelled_domains, mix
 from plumbline.llm.op02_quality import fit_quality, quality_scores
 from plumbline.llm.op03_minhash import near_duplicates
@@ -21,7 +21,7 @@ def _named(docs: DataFrame) -> DataFrame:
 
 def _kept(named: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Rows of named whose _row is among verdicts' (_row), without _row."""
-    return named.join(verdicts.select("_row").distinct(), "_row", "left_semi").drop("_row")
+    return named.join(dealt(verdicts.select("_row").distinct()), "_row", "left_semi").drop("_row")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

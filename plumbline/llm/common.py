@@ -77,9 +77,15 @@ def small_enough(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """df marked for a shuffled join, on either side. Spark sizes a table by its files, an array as one element and what explode
+    makes of it as one row, so a join left to Spark may broadcast many times what it takes a side for."""
+    return df.hint("merge")
+
+
 def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """df marked for broadcast if a count proves that it has max_rows rows at most; else as it is, for a shuffled join."""
-    return F.broadcast(df) if small_enough(df, max_rows) else df
+    """df marked for broadcast if a count proves that it has max_rows rows at most; else for a shuffled join."""
+    return F.broadcast(df) if small_enough(df, max_rows) else dealt(df)
 
 
 def key_crc(doc_id: Column, mod: int) -> Column:
@@ -139,11 +145,11 @@ def connected_components(edges: DataFrame, local_links: int = LOCAL_LINKS) -> Da
     while True:
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+        large = both.where("v > u").join(dealt(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.where("m < u").select("u", F.col("m").alias("v"))
         ).distinct()
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low2, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+        small = large.join(dealt(low2), "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low2.select("u", F.col("m").alias("v"))
         ).distinct()
         new = written(small, "cc")

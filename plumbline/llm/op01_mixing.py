@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import key_crc, written
+from plumbline.llm.common import dealt, key_crc, written
 
 BUCKETS = 4096
 #: Production targets: shares of tokens by language.
@@ -147,7 +147,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> Data
     repeated ids go by id and text; null and empty texts have the prior's rate; an empty table gives no rows."""
     got = mixture(docs, labelled, targets).where("copies > 0").select(F.struct("doc_id", "text_hash").alias("key"), "copies")
     rows = docs.select(F.struct("*").alias("row"), F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("key"))
-    out = rows.join(got, "key")  # a struct equals another with nulls in the same places
+    out = rows.join(dealt(got), "key")  # a struct equals another with nulls in the same places
     return out.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.common import connected_components, discard, shingle_set, text_buffers, written
+from plumbline.llm.common import connected_components, dealt, discard, shingle_set, text_buffers, written
 
 COORDS = 48
 MATCHES = 28
@@ -113,7 +113,8 @@ def _reachable(a: str, b: str, percent: int) -> Column:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of distinct pairs (a, b) that reach percent on full sets."""
+    """Those of distinct pairs (a, b) that reach percent on full sets. Spark knows the size of pairs from the shuffle that
+    brings them, and hashes fill their files, so it may broadcast here."""
     x = pairs.join(sets.select(F.col("rep").alias("b"), F.col("items").alias("ib")), "b")
     x = x.join(sets.select(F.col("rep").alias("a"), F.col("items").alias("ia")), "a")
     x = x.withColumn("both", F.size(F.array_intersect("ia", "ib")))
@@ -134,13 +135,13 @@ def _merged(several: DataFrame, node: DataFrame, percent: int, matches: int) ->
     in `matches` lists and can reach percent. Members of each list's largest component (top) aren't compared with each other. Lists
     of more than BLOCK members are dealt into blocks, and each pair of blocks is a group of its own."""
     blocks = F.ceil(F.col("k") / BLOCK).cast("int")
-    rows = several.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).join(node, "rep")
+    rows = several.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).join(dealt(node), "rep")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     fields = ("rep", "comp", "n", "sig", "bits")
     left = rows.where("comp <> top").select("token", F.col("own").alias("i"), every.alias("j"), *[F.col(c).alias(f"{c}_a") for c in fields])
     right = rows.select("token", every.alias("i"), F.col("own").alias("j"), *[F.col(c).alias(f"{c}_b") for c in fields], "top")
     once = (F.col("comp_a") != F.col("comp_b")) & ((F.col("comp_b") == F.col("top")) | (F.col("rep_a") < F.col("rep_b")))
-    pairs = left.join(right, ["token", "i", "j"]).where(once & (collisions("sig_a", "sig_b") >= matches) & _reachable("_a", "_b", percent))
+    pairs = left.join(dealt(right), ["token", "i", "j"]).where(once & (collisions("sig_a", "sig_b") >= matches) & _reachable("_a", "_b", percent))
     return pairs.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
 
 
@@ -166,10 +167,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     posted = classes.select("rep", F.posexplode("sig").alias("c", "v")).select("rep", (F.shiftleft(F.col("c").cast("long"), 32) + F.col("v").cast("long")).alias("token"))
     often = posted.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
-    lists = posted.join(often, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("ts")).where(F.size("ts") >= matches)
+    lists = posted.join(dealt(often), "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("ts")).where(F.size("ts") >= matches)
     prefix = F.lit(coords - matches + 1) - (F.lit(coords) - F.size("ts"))
     lists = lists.select("rep", F.aggregate("ts", F.lit(0).cast("long"), lambda s, t: s + t["f"]).alias("central"), F.slice(F.transform("ts", lambda t: t["token"]), 1, prefix).alias("tokens"))
-    members = written(lists.join(classes.select("rep", "id", "th", "n", "sig"), "rep"), "members")
+    members = written(lists.join(dealt(classes.select("rep", "id", "th", "n", "sig")), "rep"), "members")
     # An inner join: Catalyst would move a semi-join below the filter.
     own = _likely(texts.where("id is not null"), members).join(members.select("id", "th", "rep"), ["id", "th"]).dropDuplicates(["id", "th"])
     sets = written(own.select("rep", "text").mapInArrow(_sets, "rep long, items array<long>, bits array<long>"), "sets")
@@ -178,26 +179,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Lists with the same members say the same: one of each stays.
     same = post.groupBy("token").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"), F.max_by("rep", F.struct("central", "rep")).alias("hub")).where("k > 1")
     same = same.groupBy("k", "x", "y").agg(F.min(F.struct("token", "hub")).alias("list")).select("list.token", "list.hub", "k")
-    post = written(post.drop("central").join(same, "token"), "post")
+    post = written(post.drop("central").join(dealt(same), "token"), "post")
     pairs = post.where("rep <> hub").select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
     for end in ("b", "a"):
-        pairs = pairs.join(members.select(F.col("rep").alias(end), F.col("sig").alias(f"sig_{end}"), F.col("n").alias(f"n_{end}")), end)
+        pairs = pairs.join(dealt(members.select(F.col("rep").alias(end), F.col("sig").alias(f"sig_{end}"), F.col("n").alias(f"n_{end}"))), end)
     pairs = pairs.where((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (collisions("sig_a", "sig_b") >= matches)).select("a", "b")
     links = written(_confirmed(pairs, sets, percent), "links")
     comps = written(connected_components(links), "comps")
     # What is left: lists whose members are in several components, those outside the largest against all others.
-    now = post.drop("hub").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("token", "rep", "k", F.coalesce("component", "rep").alias("comp"))
+    now = post.drop("hub").join(dealt(comps.withColumnRenamed("node", "rep")), "rep", "left").select("token", "rep", "k", F.coalesce("component", "rep").alias("comp"))
     parts = now.groupBy("token", "comp").agg(F.count("*").alias("n")).groupBy("token").agg(F.max_by("comp", F.struct("n", "comp")).alias("top"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    node = members.select("rep", "n", "sig").join(sets.select("rep", "bits"), "rep")
-    last = written(_confirmed(_merged(now.join(parts, "token"), node, percent, matches), sets, percent), "links")
+    node = members.select("rep", "n", "sig").join(dealt(sets.select("rep", "bits")), "rep")
+    last = written(_confirmed(_merged(now.join(dealt(parts), "token"), node, percent, matches), sets, percent), "links")
     if last.limit(1).count():
         comps = written(connected_components(links.unionByName(last)), "comps")
     for x in (sets, post, members, links, last):
         discard(x)
-    ids = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("key", "id", F.coalesce("component", "rep").alias("component"))
+    ids = classes.join(dealt(comps.withColumnRenamed("node", "rep")), "rep", "left").select("key", "id", F.coalesce("component", "rep").alias("component"))
     least = ids.groupBy("component").agg(F.min("id").alias("least"))
-    named = ids.join(least, "component").select("key", "least")
-    out = described.select("id", "n", "key").join(named, "key", "left")
+    named = ids.join(dealt(least), "component").select("key", "least")
+    out = described.select("id", "n", "key").join(dealt(named), "key", "left")
     component = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("least", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import discard, maybe_broadcast, written
+from plumbline.llm.common import dealt, discard, maybe_broadcast, written
 
 LIMIT = 1 << 20
 MAX_DEPTH = 48
@@ -86,7 +86,7 @@ def shard(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col:
     common = max(depths, default=0)
     found = buckets.select("depth", "prefix", F.when(F.col("bytes") > limit, F.ceil(F.col("bytes") / F.lit(limit * LANE_PAGES))).otherwise(0).alias("lanes"))
     if common <= max_slot_bits:
-        at = slots(buckets, common).join(found, ["depth", "prefix"])
+        at = slots(buckets, common).join(dealt(found), ["depth", "prefix"])
         rows = rows.withColumn("slot", F.shiftright("bits", MAX_DEPTH - common)).join(maybe_broadcast(at, max_broadcast_rows), "slot")
     else:  # too deep for a table of all slots: a row probes its prefix of each depth in use
         tried = F.array(*[F.struct(F.lit(d).alias("depth"), F.shiftright("bits", MAX_DEPTH - d).alias("prefix")) for d in depths])

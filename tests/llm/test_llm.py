@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.llm import op01_mixing, op02_quality, op03_minhash, op04_decontaminate, op05_forest, op06_langid, op07_url, op08_tokens, op09_license, op10_sharding
-from plumbline.llm.common import connected_components, word_hashes
+from plumbline.llm.common import connected_components, maybe_broadcast, word_hashes
 from plumbline.llm.wavelet import WaveletMatrix, dump, load
 
 SF = "/root/testdata/sf0.001"
@@ -480,3 +480,26 @@ def test_pairs_of_vectors_with_many_leaves_take_bounded_memory():
     assert peak < 60e6  # all pairs at once: 320 MB and more
     cut = list(op05_forest._parts([pd.DataFrame({"v": range(3000)})], 8 * 768))
     assert max(map(len, cut)) <= (1 << 22) // (8 * 768) and pd.concat(cut)["v"].tolist() == list(range(3000))
+
+
+def test_joins_after_an_explode_are_not_left_to_sparks_sizes(spark, monkeypatch):
+    """A file of few bytes makes many rows: what no count bounds is shuffled, however small Spark takes it to be."""
+    plans = {}
+    written = op03_minhash.written
+
+    def seen(df, name, *a, **k):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name, *a, **k)
+
+    monkeypatch.setattr(op03_minhash, "written", seen)
+    texts = [passage(40) for _ in range(20)]
+    docs = docs_of(spark, list(enumerate(texts + [t + " end" for t in texts])))
+    got = op03_minhash.near_duplicates(docs).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i % 20 for i in range(40)}
+    for name in ("members", "post"):
+        assert "Join" in plans[name] and "Broadcast" not in plans[name]
+    many = spark.range(3).selectExpr("explode(sequence(0L, 99L)) as id")
+    rows = spark.range(100)
+    for how in ("inner", "left_semi", "left"):
+        plan = lambda most: rows.join(maybe_broadcast(many, most), "id", how)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan(300) and "Broadcast" not in plan(299)
